@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerline.functions.checkdigit import is_valid_access_key, is_valid_cnpj, with_cnpj_digits
+from layerline.functions.checkdigit import is_valid_access_key, is_valid_cnpj, with_cnpj
 from layerline.functions.dates import calendar_columns, date_key, year_month
 from layerline.functions.hashing import change_hash
 from layerline.functions.text import by_prefix, digits_only
@@ -611,15 +611,15 @@ def q18_operation_codes(t: Tables) -> DataFrame:
     FROM (SELECT *, one || CASE WHEN r2 < 2 THEN '0' ELSE CAST(11 - r2 AS VARCHAR) END AS cnpj FROM d2)""")
 def q26_company_ids(t: Tables) -> DataFrame:
     """build and check company ids; one altered digit makes them invalid."""
-    cnpj = with_cnpj_digits(F.lpad(F.col("c_custkey").cast("string"), 12, "0"))
+    base = F.lpad(F.col("c_custkey").cast("string"), 12, "0")
     last = F.substring("cnpj", 14, 1).cast("int")
     altered = F.concat(F.substring("cnpj", 1, 13), ((last + 1) % 10).cast("string"))
-    keyed = t.customer.select("c_custkey", cnpj.alias("cnpj")).withColumn("altered", altered)
+    keyed = with_cnpj(t.customer, "cnpj", base).withColumn("altered", altered)
     return keyed.select(
         "c_custkey",
         "cnpj",
-        is_valid_cnpj(F.col("cnpj")).alias("valid"),
-        is_valid_cnpj(F.col("altered")).alias("altered_valid"),
+        is_valid_cnpj("cnpj").alias("valid"),
+        is_valid_cnpj("altered").alias("altered_valid"),
     )
 
 
@@ -651,8 +651,8 @@ def q26_access_keys(t: Tables) -> DataFrame:
     return keyed.withColumn("altered", altered).select(
         "o_orderkey",
         "chave_acesso",
-        is_valid_access_key(F.col("chave_acesso")).alias("valid"),
-        is_valid_access_key(F.col("altered")).alias("altered_valid"),
+        is_valid_access_key("chave_acesso").alias("valid"),
+        is_valid_access_key("altered").alias("altered_valid"),
     )
 
 

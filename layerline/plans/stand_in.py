@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerline.functions.checkdigit import with_access_key, with_cnpj_digits
+from layerline.functions.checkdigit import with_access_key, with_cnpj
 from layerline.operators.clean import latest_per_key
 from layerline.operators.scd2 import Scd2Config
 from layerline.plans.bronze import RawSources
@@ -89,8 +89,9 @@ def stretched(ts: Column) -> Column:
     return F.lit("1995-01-01").cast("timestamp_ntz") + passed * 80
 
 
-def _cnpj(number: Column) -> Column:
-    return with_cnpj_digits(F.concat(F.lpad((number + 1).cast("string"), 8, "0"), F.lit("0001")))
+def _with_cnpj(df: DataFrame, name: str, number: Column) -> DataFrame:
+    base = F.concat(F.lpad((number + 1).cast("string"), 8, "0"), F.lit("0001"))
+    return with_cnpj(df, name, base)
 
 
 def _tenth(number: Column) -> Column:
@@ -105,15 +106,15 @@ def with_order_key(orders: DataFrame) -> DataFrame:
     """Orders with the access key their number, date and customer make."""
     number = F.pmod("o_orderkey", F.lit(1_000_000_000))
     return with_access_key(
-        orders.withColumn("_cnpj", _cnpj(_tenth(F.col("o_custkey")))),
+        _with_cnpj(orders, "cnpj_emitente", _tenth(F.col("o_custkey"))),
         "chave_acesso",
         uf=F.pmod("o_custkey", F.lit(25)) + 11,
         year_month=F.date_format("o_orderdate", "yyMM"),
-        cnpj=F.col("_cnpj"),
+        cnpj=F.col("cnpj_emitente"),
         series=F.pmod("o_orderkey", F.lit(999)) + 1,
         number=number,
         code=F.floor(F.col("o_orderkey") / 1_000_000_000).cast("long"),
-    ).drop("_cnpj")
+    )
 
 
 def item_cfop() -> Column:
@@ -123,13 +124,14 @@ def item_cfop() -> Column:
 
 def raw_sources(t: Tables) -> RawSources:
     invoices = with_order_key(t.orders)
-    headers = invoices.select(
+    recipients = _with_cnpj(invoices, "cnpj_destinatario", F.col("o_custkey") + 10_000_000)
+    headers = recipients.select(
         "chave_acesso",
         F.pmod("o_orderkey", F.lit(1_000_000_000)).cast("int").alias("numero_nfe"),
         (F.pmod("o_orderkey", F.lit(999)) + 1).cast("int").alias("serie"),
         F.col("o_orderdate").cast("timestamp").alias("dh_emissao"),
-        _cnpj(_tenth(F.col("o_custkey"))).alias("cnpj_emitente"),
-        _cnpj(F.col("o_custkey") + 10_000_000).alias("cnpj_destinatario"),
+        "cnpj_emitente",
+        "cnpj_destinatario",
         _pick(UFS, F.pmod("o_custkey", F.lit(25))).alias("uf_emitente"),
         _pick(UFS, F.pmod(F.col("o_orderkey") * 7 + 3, F.lit(25))).alias("uf_destinatario"),
         F.col("o_totalprice").cast(MONEY).alias("valor_total"),
@@ -137,9 +139,12 @@ def raw_sources(t: Tables) -> RawSources:
         F.col("o_orderdate").cast("timestamp").alias("updated_at_source"),
     )
     keyed = invoices.select("o_orderkey", "chave_acesso", "o_orderdate")
-    lines = latest_items(t.lineitem).join(
-        keyed, F.col("l_orderkey") == F.col("o_orderkey")
-    ).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    parts = _with_cnpj(t.part, "cnpj_emitente", _tenth(F.col("p_partkey")))
+    lines = (
+        latest_items(t.lineitem)
+        .join(keyed, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    )
     price = F.col("l_extendedprice").cast(MONEY)
     ncm = F.lit(NCM_OTHER)
     for kind, code in NCM_BY_TYPE.items():
@@ -151,7 +156,7 @@ def raw_sources(t: Tables) -> RawSources:
     item = {
         "chave_acesso": F.col("chave_acesso"),
         "num_item": F.col("l_linenumber"),
-        "cnpj_emitente": _cnpj(_tenth(F.col("l_partkey"))),
+        "cnpj_emitente": F.col("cnpj_emitente"),
         "codigo_produto": F.format_string("SKU-%06d", "l_partkey"),
         "descricao_produto": F.col("p_name"),
         # Products of one size carry a malformed goods code, and so end in quarantine.
@@ -191,8 +196,8 @@ def raw_sources(t: Tables) -> RawSources:
     first_seen = t.events.groupBy("user_id").agg(
         F.min("ts").alias("first_ts"), F.max_by("event_type", F.struct("ts", "event_id")).alias("kind")
     )
-    issuers = first_seen.select(
-        _cnpj(F.col("user_id")).alias("cnpj_emitente"),
+    issuers = _with_cnpj(first_seen, "cnpj_emitente", F.col("user_id")).select(
+        "cnpj_emitente",
         F.format_string("Empresa %d", "user_id").alias("razao_social"),
         F.format_string("Loja %d", "user_id").alias("nome_fantasia"),
         F.col("kind").alias("regime_tributario"),
