@@ -676,14 +676,17 @@ def q19_revenue(t: Tables) -> DataFrame:
     headers = orders_with_status(t.orders, t.lineitem).join(
         places, F.col("o_custkey") == F.col("c_custkey")
     )
-    facts = latest_items(t.lineitem).join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
-    facts = facts.select(
+    # Folded to one row per order before the join, so that an order with very many lines
+    # is no more than any other there.
+    value = F.sum(F.col("l_extendedprice").cast(MONEY)).alias("valor_produto")
+    sold = latest_items(t.lineitem).groupBy("l_orderkey").agg(value)
+    facts = sold.join(headers, F.col("l_orderkey") == F.col("o_orderkey")).select(
         year_month(F.col("o_orderdate")).alias("ano_mes"),
         "n_name",
         "o_orderpriority",
         "o_orderkey",
         "is_cancelada",
-        F.col("l_extendedprice").cast(MONEY).alias("valor_produto"),
+        "valor_produto",
     )
     group = ("ano_mes", "n_name", "o_orderpriority")
     revenue = revenue_by(facts, group, invoice="o_orderkey")
@@ -761,7 +764,8 @@ def q27_item_fact(t: Tables) -> DataFrame:
         ),
         "dim",
     )
-    items = latest_items(t.lineitem).select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    items = materialize(latest_items(t.lineitem).select(*columns), "items")
     sold = _sold_items(t, items)
     products = materialize(
         history_from_facts(sold, PRODUCT, event_ts="o_orderdate", tie_break=["l_orderkey"]).select(
@@ -792,6 +796,7 @@ def q27_item_fact(t: Tables) -> DataFrame:
         event_ts="o_orderdate",
         take={"issuer_type": Take("event_type"), "issuer_from": Take("valid_from")},
         grain=ITEM_GRAIN,
+        write_once=True,
     )
     issued = F.col("o_orderdate")
     return facts.select(
