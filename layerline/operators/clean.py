@@ -15,7 +15,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
 
     Spark plans the rank filter as a group limit on both sides of the shuffle, so a task
     sends at most one row per key however many copies of a key it reads. Rows that tie on
-    ``order_by`` are told apart by a hash of the row: the pick is the same on every run.
+    ``order_by`` are told apart by a hash of the whole row, so that the pick is the same on
+    every run; select the columns you need first, or the hash makes the scan read them all.
     """
     if not keys:
         raise ValueError("latest_per_key needs at least one key")

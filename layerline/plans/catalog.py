@@ -292,6 +292,20 @@ def q28_watermark(t: Tables) -> DataFrame:
     return batch.select("event_id", "user_id", "event_type")
 
 
+@query("""
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderpriority END
+      AS o_orderpriority FROM orders""")
+def q08_append(t: Tables) -> DataFrame:
+    """K1: two batches appended, the second with a column the first did not have."""
+    table = _store(t, "append").table("bronze", "orders")
+    recent = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    early = t.orders.filter(~recent).select("o_orderkey", "o_custkey")
+    later = t.orders.filter(recent).select("o_orderkey", "o_custkey", "o_orderpriority")
+    table.append(early, batch_id="b1", stage="bronze")
+    table.append(later, batch_id="b2", stage="bronze", merge_schema=True)
+    return table.read()
+
+
 # -- joins, merges --------------------------------------------------------------------------
 
 
@@ -591,7 +605,7 @@ def q18_reference_join(t: Tables) -> DataFrame:
     FROM coded JOIN cfop USING (cfop) GROUP BY 1, 2, 3""")
 def q18_operation_codes(t: Tables) -> DataFrame:
     """Items by operation-code group, and whether the group earns revenue."""
-    items = latest_items(t.lineitem).withColumn("cfop", item_cfop())
+    items = latest_items(t.lineitem, "l_extendedprice").withColumn("cfop", item_cfop())
     valor = F.sum(F.col("l_extendedprice").cast(MONEY)).cast("double").alias("valor")
     return (
         items.join(cfop_dimension(t.spark), "cfop")
@@ -679,7 +693,7 @@ def q19_revenue(t: Tables) -> DataFrame:
     # Folded to one row per order before the join, so that an order with very many lines
     # is no more than any other there.
     value = F.sum(F.col("l_extendedprice").cast(MONEY)).alias("valor_produto")
-    sold = latest_items(t.lineitem).groupBy("l_orderkey").agg(value)
+    sold = latest_items(t.lineitem, "l_extendedprice").groupBy("l_orderkey").agg(value)
     facts = sold.join(headers, F.col("l_orderkey") == F.col("o_orderkey")).select(
         year_month(F.col("o_orderdate")).alias("ano_mes"),
         "n_name",
@@ -713,7 +727,7 @@ def q20_tax_burden(t: Tables) -> DataFrame:
     )
     kinds = t.part.select("p_partkey", "p_type")
     facts = (
-        latest_items(t.lineitem)
+        latest_items(t.lineitem, "l_tax", "l_discount")
         .join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(kinds, F.col("l_partkey") == F.col("p_partkey"))
         .select(
@@ -765,7 +779,7 @@ def q27_item_fact(t: Tables) -> DataFrame:
         "dim",
     )
     columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    items = materialize(latest_items(t.lineitem).select(*columns), "items")
+    items = materialize(latest_items(t.lineitem, *columns).select(*columns), "items")
     sold = _sold_items(t, items)
     products = materialize(
         history_from_facts(sold, PRODUCT, event_ts="o_orderdate", tie_break=["l_orderkey"]).select(
@@ -851,7 +865,7 @@ def q22_reconciliation(t: Tables) -> DataFrame:
     return reconcile(
         {
             "nfe_header": (t.orders, orders_with_status(t.orders, t.lineitem)),
-            "nfe_item": (t.lineitem, latest_items(t.lineitem)),
+            "nfe_item": (t.lineitem, latest_items(t.lineitem, "l_linenumber")),
         }
     )
 
@@ -874,7 +888,8 @@ def q24_time_travel(t: Tables) -> DataFrame:
     table = _store(t, "versions").table("gold", "items")
     columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     table.overwrite(t.lineitem.select(*columns), batch_id="b1", stage="load")
-    table.overwrite(latest_items(t.lineitem).select(*columns), batch_id="b2", stage="dedup")
+    deduplicated = latest_items(t.lineitem, *columns).select(*columns)
+    table.overwrite(deduplicated, batch_id="b2", stage="dedup")
     span = table.history(100).agg(F.min("version").alias("a"), F.max("version").alias("b")).first()
     before = table.read_version(span.a)
     newest = table.history(1).first()

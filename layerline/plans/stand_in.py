@@ -51,7 +51,10 @@ def tables(spark: SparkSession, folder: str) -> Tables:
     return Tables(spark, folder)
 
 
-def latest_items(lineitem: DataFrame) -> DataFrame:
+def latest_items(lineitem: DataFrame, *extra: str) -> DataFrame:
+    """One row per item: key and order columns and the extra ones; all columns if none is named."""
+    if extra:
+        lineitem = lineitem.select(*dict.fromkeys([*ITEM_GRAIN, *ITEM_ORDER, *extra]))
     return latest_per_key(lineitem, ITEM_GRAIN, ITEM_ORDER)
 
 
@@ -141,7 +144,7 @@ def raw_sources(t: Tables) -> RawSources:
     keyed = invoices.select("o_orderkey", "chave_acesso", "o_orderdate")
     parts = _with_cnpj(t.part, "cnpj_emitente", _tenth(F.col("p_partkey")))
     lines = (
-        latest_items(t.lineitem)
+        latest_items(t.lineitem, "l_partkey")
         .join(keyed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
     )
