@@ -1 +1 @@
-"""The invoice lakehouse: bronze, silver and gold builds over the operators."""
+"""Bronze, silver and gold builds of the invoice tables, and the query catalog."""

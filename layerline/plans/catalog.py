@@ -355,7 +355,7 @@ def q11_merge_counts(t: Tables) -> DataFrame:
     return merge_counts(merge_frames(*_merge_sides(t), ["o_orderkey"]))
 
 
-@query("SELECT 0 AS rows_inserted, 0 AS rows_updated, count(*) AS rows_kept FROM orders")
+@query("SELECT 0::BIGINT AS rows_inserted, 0::BIGINT AS rows_updated, count(*) AS rows_kept FROM orders")
 def q12_merge_again(t: Tables) -> DataFrame:
     """K3: the same source a second time changes nothing."""
     target, source = _merge_sides(t)
@@ -556,8 +556,8 @@ def _sold_items(t: Tables, lineitem: DataFrame) -> DataFrame:
     easter AS (
       SELECT ano, make_date(ano, (h + l - 7 * m + 114) // 31, (h + l - 7 * m + 114) % 31 + 1) AS sunday
       FROM y4)
-    SELECT CAST(strftime(data, '%Y%m%d') AS INTEGER) AS sk_data, data, year(data) AS ano,
-      month(data) AS mes, day(data) AS dia, isodow(data) AS dia_semana,
+    SELECT CAST(strftime(data, '%Y%m%d') AS INTEGER) AS sk_data, data, year(data)::INTEGER AS ano,
+      month(data)::INTEGER AS mes, day(data)::INTEGER AS dia, isodow(data)::INTEGER AS dia_semana,
       list_extract(['janeiro','fevereiro','março','abril','maio','junho','julho','agosto',
         'setembro','outubro','novembro','dezembro'], month(data)) AS nome_mes,
       list_extract(['segunda-feira','terça-feira','quarta-feira','quinta-feira','sexta-feira',
@@ -881,7 +881,7 @@ def q23_duplicate_grain(t: Tables) -> DataFrame:
     WITH {ITEMS}, old AS (SELECT sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v, count(*) AS n FROM lineitem),
     new AS (SELECT sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v, count(*) AS n FROM items)
     SELECT 0 AS first_version, 1 AS last_version, CAST(old.v AS DOUBLE) AS revenue_before,
-      CAST(new.v AS DOUBLE) AS revenue_after, 0 AS rows_added, old.n - new.n AS rows_removed
+      CAST(new.v AS DOUBLE) AS revenue_after, 0::BIGINT AS rows_added, old.n - new.n AS rows_removed
     FROM old, new""")
 def q24_time_travel(t: Tables) -> DataFrame:
     """Two versions, their revenue and their difference."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from layerline.functions.checkdigit import with_access_key, with_cnpj
 from layerline.operators.clean import latest_per_key
+from layerline.operators.scale import materialize
 from layerline.operators.scd2 import Scd2Config
 from layerline.plans.bronze import RawSources
 from layerline.plans.contracts import CANCELLATION, CFOP_ROWS
@@ -126,7 +127,8 @@ def item_cfop() -> Column:
 
 
 def raw_sources(t: Tables) -> RawSources:
-    invoices = with_order_key(t.orders)
+    # Used by headers, items and events alike.
+    invoices = materialize(with_order_key(t.orders), "invoices")
     recipients = _with_cnpj(invoices, "cnpj_destinatario", F.col("o_custkey") + 10_000_000)
     headers = recipients.select(
         "chave_acesso",
