@@ -278,18 +278,27 @@ def q08_batch_ledger(t: Tables) -> DataFrame:
     return control.batches().select(*columns, applied.alias("applied"))
 
 
-@query("SELECT event_id, user_id, event_type FROM events WHERE event_id > 7999")
+@query("""
+    SELECT event_id, user_id, event_type, -1::BIGINT AS mark_before, 7999::BIGINT AS mark_at,
+      (SELECT max(event_id) FROM events) AS mark_after FROM events WHERE event_id > 7999""")
 def q28_watermark(t: Tables) -> DataFrame:
     """Only rows past the stored watermark, which then moves on."""
     control = BatchControl(_store(t, "watermark"))
-    assert control.read_watermark("events") == -1
+    before = control.read_watermark("events")
     control.write_watermark("events", 7999)
+    at = control.read_watermark("events")
     batch = control.new_rows(t.events, "events", "event_id")
     newest = batch.agg(F.max("event_id")).first()[0]
     if newest is not None:
         control.write_watermark("events", newest)
-        assert control.read_watermark("events") == newest
-    return batch.select("event_id", "user_id", "event_type")
+    return batch.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        F.lit(before).cast("bigint").alias("mark_before"),
+        F.lit(at).cast("bigint").alias("mark_at"),
+        F.lit(control.read_watermark("events")).cast("bigint").alias("mark_after"),
+    )
 
 
 @query("""
