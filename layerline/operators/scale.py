@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A broadcast side may hold this much, measured, at most.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 
 # A key is hot when one task would have to sort more rows of it than this,
@@ -62,13 +62,13 @@ def _row_bytes(schema: T.StructType):
 def fits_broadcast(
     df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure whether the frame is within both bounds. Reads no more than ``rows + 1`` rows on."""
-    seen = (
-        df.limit(rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema).cast("long")).alias("b"))
-        .first()
-    )
-    return seen.n <= rows and (seen.b or 0) <= size
+    """Measure whether the frame is within both bounds.
+
+    ``take`` reads partition after partition until it has ``rows + 1`` row sizes, so a large
+    frame is turned down after its first few partitions.
+    """
+    sizes = df.select(_row_bytes(df.schema).cast("long").alias("b")).take(rows + 1)
+    return len(sizes) <= rows and sum(r.b for r in sizes) <= size
 
 
 @dataclass(frozen=True)
