@@ -278,14 +278,16 @@ def q08_batch_ledger(t: Tables) -> DataFrame:
     return control.batches().select(*columns, applied.alias("applied"))
 
 
-@query("""
-    SELECT event_id, user_id, event_type, -1::BIGINT AS mark_before, 7999::BIGINT AS mark_at,
-      (SELECT max(event_id) FROM events) AS mark_after FROM events WHERE event_id > 7999""")
+@query(f"""
+    WITH mark AS (SELECT max(event_id) AS m FROM events WHERE ts < {SPLIT})
+    SELECT event_id, user_id, event_type, -1::BIGINT AS mark_before, m AS mark_at,
+      (SELECT max(event_id) FROM events) AS mark_after FROM events, mark WHERE event_id > m""")
 def q28_watermark(t: Tables) -> DataFrame:
     """Only rows past the stored watermark, which then moves on."""
     control = BatchControl(_store(t, "watermark"))
     before = control.read_watermark("events")
-    control.write_watermark("events", 7999)
+    early = t.events.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    control.write_watermark("events", early.agg(F.max("event_id")).first()[0])
     at = control.read_watermark("events")
     batch = control.new_rows(t.events, "events", "event_id")
     newest = batch.agg(F.max("event_id")).first()[0]
@@ -329,21 +331,21 @@ def q09_cancellations(t: Tables) -> DataFrame:
 
 
 def _merge_sides(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Target: orders not divisible by ten. Source: even orders, cancelled ones with status X."""
-    key = F.col("o_orderkey")
-    target = t.orders.filter(key % 10 != 0)
-    flagged = orders_with_status(t.orders, t.lineitem).filter(key % 2 == 0)
+    """Target: orders as loaded before 2000. Source: all orders, cancelled ones with status X."""
+    loaded = F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")
+    flagged = orders_with_status(t.orders, t.lineitem)
     status = F.when(F.col("is_cancelada"), "X").otherwise(F.col("o_orderstatus"))
-    return target, flagged.withColumn("o_orderstatus", status).select(*t.orders.columns)
+    source = flagged.withColumn("o_orderstatus", status).select(*t.orders.columns)
+    return t.orders.filter(loaded), source
 
 
 MERGED = f"""{HEADERS},
 merged AS (
   SELECT o.o_orderkey, o.o_custkey,
-    CASE WHEN o.o_orderkey % 2 = 0 AND h.is_cancelada THEN 'X' ELSE o.o_orderstatus END AS o_orderstatus,
+    CASE WHEN h.is_cancelada THEN 'X' ELSE o.o_orderstatus END AS o_orderstatus,
     o.o_totalprice, o.o_orderdate, o.o_orderpriority,
-    CASE WHEN o.o_orderkey % 10 = 0 THEN 'insert'
-      WHEN o.o_orderkey % 2 = 0 AND h.is_cancelada AND o.o_orderstatus <> 'X' THEN 'update'
+    CASE WHEN o.o_orderdate >= TIMESTAMP '2000-01-01' THEN 'insert'
+      WHEN h.is_cancelada AND o.o_orderstatus <> 'X' THEN 'update'
       ELSE 'keep' END AS _action
   FROM orders o JOIN headers h ON h.o_orderkey = o.o_orderkey)"""
 
