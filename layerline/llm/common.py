@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable, Hashable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +49,16 @@ class TwoAges:
             self._old = dict(self.young)
             self.young.clear()  # the same dict, so that bound methods stay good
         self.young[key] = value
+
+
+def per_worker(key: Hashable, build: Callable[[], object]) -> object:
+    """What ``build`` gives, made once for each Python worker process.
+
+    Spark reuses its workers, so tables that are costly to fill serve one task after another. What is
+    built must not carry results from one task to the next, and must be bounded.
+    """
+    name = "_layerline_worker"
+    kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if key not in kept:
+        kept[key] = build()
+    return kept[key]

@@ -24,13 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerline.llm.common import TwoAges
+from layerline.llm.common import TwoAges, per_worker
 
 CAPACITY = 4096
 END_ID = 2
 
 #: Chunks between white space whose ids a task remembers, and the longest one worth it.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 CACHE_CHARS = 64
 
 #: Stands between chunks that are encoded together; the vocabulary has one id for it.
@@ -79,24 +79,20 @@ class ChunkTokenizer:
 
     def encode(self, text: str) -> bytes:
         known = self._known
-        young = known.young
         chunks = text.replace("\n", " ").split(" ")
-        found: dict[str, bytes] = {}
-        new = []
-        for chunk in dict.fromkeys(chunks):
-            if chunk not in young:
-                ids = known.older(chunk)
-                if ids is None:
-                    new.append(chunk)
-                else:
-                    found[chunk] = ids
-        if new:
-            found.update(self._encode(new))
-        out = b"".join([found[c] if c in found else young[c] for c in chunks])
-        for chunk, ids in found.items():
-            if len(chunk) <= CACHE_CHARS:
-                known.add(chunk, ids)
-        return out
+        parts = list(map(known.young.get, chunks))
+        if None in parts:
+            places = [i for i, part in enumerate(parts) if part is None]
+            found = {chunks[i]: known.older(chunks[i]) for i in places}
+            new = [chunk for chunk, ids in found.items() if ids is None]
+            if new:
+                found.update(self._encode(new))
+            for i in places:
+                parts[i] = found[chunks[i]]
+            for chunk, ids in found.items():
+                if len(chunk) <= CACHE_CHARS:
+                    known.add(chunk, ids)
+        return b"".join(parts)
 
 
 def pieces(length: int, capacity: int) -> Iterator[tuple[int, int]]:
@@ -183,7 +179,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        tokenizer = ChunkTokenizer(tokenizer_path)
+        tokenizer = per_worker(("chunks", tokenizer_path), lambda: ChunkTokenizer(tokenizer_path))
         bins = Bins(capacity, TaskContext.get().partitionId() * TASK_STRIDE)
         end = end_id.to_bytes(4, "little")
         keys = None
