@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerline.llm.common import TwoAges
+from layerline.llm.common import TwoAges, per_worker
 
 #: States, stable pairs and whole matches that a task remembers.
-STATE_LIMIT = 150_000
+STATE_LIMIT = 250_000
 PAIR_LIMIT = 500_000
-WORD_LIMIT = 300_000
+WORD_LIMIT = 600_000
 WORD_BYTES = 64
+#: Open characters whose steps a decoder remembers.
+OPEN_LIMIT = 500
 #: Bytes of a long match after which shared output leaves.
 LOOKAHEAD = 128
 #: Documents whose token ids are held at once on the way out.
@@ -200,9 +202,12 @@ class Encoder:
         return ids
 
     def encode(self, text: str) -> bytes:
-        encode, matches = self._encode, self._split(text)
-        get = self._known.young.get
-        return b"".join([get(m) or encode(m) for m in matches])
+        matches = self._split(text)
+        parts = list(map(self._known.young.get, matches))
+        if None in parts:
+            encode = self._encode
+            parts = [encode(m) if p is None else p for p, m in zip(parts, matches)]
+        return b"".join(parts)
 
 
 class Utf8Stream:
@@ -215,7 +220,7 @@ class Utf8Stream:
 
     def __init__(self, tokens: dict[int, bytes]) -> None:
         self._tokens = tokens
-        self._steps: dict[tuple[bytes, int], tuple[bytes, str]] = {}
+        self._steps: dict[bytes, dict[int, tuple[bytes, str]]] = {}
         self._open = b""
 
     @staticmethod
@@ -253,19 +258,23 @@ class Utf8Stream:
                 text.append("�")
         return held, "".join(text)
 
-    def feed(self, ids: Iterable[int]) -> Iterator[str]:
-        """Text as it becomes certain, token by token."""
-        steps, state = self._steps, self._open
+    def feed(self, ids: Iterable[int]) -> str:
+        """The text that is certain after these tokens."""
+        steps, state, text = self._steps, self._open, []
         for token in ids:
-            step = steps.get((state, token))
+            own = steps.get(state)
+            if own is None:
+                own = steps[state] = {}
+            step = own.get(token)
             if step is None:
-                if len(steps) >= PAIR_LIMIT:
+                if len(steps) >= OPEN_LIMIT:
                     steps.clear()
-                step = steps[state, token] = self._advance(state, self._tokens[token])
+                    own = steps[state] = {}
+                step = own[token] = self._advance(state, self._tokens[token])
             state = step[0]
-            if step[1]:
-                yield step[1]
+            text.append(step[1])
         self._open = state
+        return "".join(text)
 
     def close(self) -> str:
         """An unfinished character at the end."""
@@ -273,6 +282,16 @@ class Utf8Stream:
         return rest
 
 
+def _encoder(path: str, pattern: str) -> Encoder:
+    return per_worker(("encoder", path, pattern), lambda: Encoder(read_ranks(path), pattern))
+
+
+def _decoder(path: str) -> Utf8Stream:
+    return per_worker(
+        ("decoder", path), lambda: Utf8Stream({rank: token for token, rank in read_ranks(path).items()})
+    )
+
+
 def encode(
     documents: DataFrame, ranks_path: str, pattern: str, *, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -287,7 +306,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        encoder = Encoder(read_ranks(ranks_path), pattern)
+        encoder = _encoder(ranks_path, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
@@ -305,12 +324,11 @@ def decode(encoded: DataFrame, ranks_path: str, *, key: str = "doc_id", ids: str
     schema = f"`{key}` {rows.schema['key'].dataType.simpleString()}, text string, text_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in read_ranks(ranks_path).items()}
-        stream = Utf8Stream(tokens)
+        stream = _decoder(ranks_path)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
-                texts = ["".join([*stream.feed(i.as_py() or ()), stream.close()]) for i in part.column(1)]
+                texts = [stream.feed(i.as_py() or ()) + stream.close() for i in part.column(1)]
                 digests = [hashlib.sha256(t.encode("utf-8")).hexdigest() for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(texts, pa.string()), pa.array(digests)],
@@ -337,9 +355,7 @@ def digests(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        ranks = read_ranks(ranks_path)
-        encoder = Encoder(ranks, pattern)
-        stream = Utf8Stream({rank: token for token, rank in ranks.items()})
+        encoder, stream = _encoder(ranks_path, pattern), _decoder(ranks_path)
         for batch in batches:
             counts, firsts, seconds = [], [], []
             for body in batch.column(1):
@@ -347,7 +363,7 @@ def digests(
                 counts.append(len(ids) >> 2)
                 firsts.append(hashlib.sha256(ids).hexdigest())
                 digest = hashlib.sha256()
-                digest.update("".join(stream.feed(np.frombuffer(ids, "<u4").tolist())).encode("utf-8"))
+                digest.update(stream.feed(np.frombuffer(ids, "<u4").tolist()).encode("utf-8"))
                 digest.update(stream.close().encode("utf-8"))
                 seconds.append(digest.hexdigest())
             yield pa.RecordBatch.from_arrays(
