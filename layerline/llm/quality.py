@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerline.llm.common import SPACE
-from layerline.operators.scale import materialize
+from layerline.operators.scale import fits_broadcast, materialize
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\x0b\x0c\r"
@@ -145,12 +145,14 @@ def judge(
     )
     counted = text_counts(rows, "_text", ["_key", "_host", "_text_hash"])
     counted = materialize(counted.withColumn("base_failed", base_rule()), "quality-counts")
-    # Only the condemned hosts are joined; a hot host is split by Spark's skew join.
+    # Only the condemned hosts are joined, by broadcast if measured small; else Spark's skew join
+    # splits a hot host.
     condemned = (
         host_verdicts(counted, "_host", "base_failed", most_failing)
         .where("rejected")
         .select(F.col("_host"), F.lit(True).alias("_rejected"))
     )
+    condemned = F.broadcast(condemned) if fits_broadcast(condemned) else condemned
     return counted.join(condemned, "_host", "left").select(
         F.col("_key").alias(key),
         *COUNTS,
