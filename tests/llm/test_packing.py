@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from layerline.llm import packing
+from layerline.llm.queries import QUERIES
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def plain():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def verify(rows, texts, plain, capacity, padded):
+    """Every id once, sequences gapless, and nothing padded."""
+    documents, sequences = {}, {}
+    for row in rows:
+        documents.setdefault(row["doc_id"], []).append(row)
+        sequences.setdefault(row["sequence_id"], []).append(row)
+    for doc, text in texts.items():
+        ids = plain(text) + [2]
+        at = 0
+        for row in sorted(documents.pop(doc), key=lambda r: r["start"]):
+            assert row["start"] == at and row["doc_tokens"] == len(ids)
+            own = np.array(ids[at : at + row["length"]], "<u4").tobytes()
+            assert row["ids_crc32"] == zlib.crc32(own)
+            at += row["length"]
+        assert at == len(ids)
+    assert not documents
+    waste = 0
+    for rows in sequences.values():
+        at = 0
+        for row in sorted(rows, key=lambda r: r["offset"]):
+            assert row["offset"] == at
+            at += row["length"]
+        assert at <= capacity
+        waste += 0 if at & (at - 1) == 0 else capacity - at
+    assert waste == padded
+
+
+TEXTS = {
+    1: "a few words, no more",
+    2: "",
+    3: None,
+    4: "long " * 9_000,
+    5: "Repeated  \t\n blanks and <|endoftext|> \x01 marks",
+    None: "without a key",
+}
+
+
+def test_all_ids_once(spark, plain):
+    rows = [(k, t, "x") for k, t in TEXTS.items()]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, length string").repartition(3)
+    verify(packing.pack(frame, PATH).collect(), TEXTS, plain, 4096, 0)
+    small = packing.pack(frame, PATH, capacity=64, with_ids=True).collect()
+    verify(small, TEXTS, plain, 64, 0)
+    for row in small:
+        assert zlib.crc32(np.array(row["ids"], "<u4").tobytes()) == row["ids_crc32"]
+
+
+def test_equal_rows_are_packed_each(spark):
+    frame = spark.createDataFrame([(1, "two words")] * 3, "doc_id long, text string")
+    rows = packing.pack(frame, PATH).collect()
+    assert sum(r["length"] for r in rows) == 3 * rows[0]["doc_tokens"]
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows)
+
+
+def test_empty_and_odd_capacity(spark):
+    frame = spark.createDataFrame([], "doc_id long, text string")
+    assert packing.pack(frame, PATH).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack(frame, PATH, capacity=100)
+
+
+@given(st.lists(st.integers(1, 500), max_size=60))
+@settings(max_examples=60, deadline=None)
+def test_bins_are_full(lengths):
+    bins, rows = packing.Bins(64, 0), []
+    for number, length in enumerate(lengths):
+        for start, size in packing.pieces(length, 64):
+            rows += bins.add((number, start, size), size)
+    rows += bins.close()
+    fill: dict[int, int] = {}
+    for _, _, size, sequence, offset in rows:
+        assert fill.get(sequence, 0) == offset
+        fill[sequence] = offset + size
+    assert sum(fill.values()) == sum(lengths)
+    assert all(v & (v - 1) == 0 for v in fill.values())
+    assert sum(v < 64 for v in fill.values()) <= 6
+
+
+@given(st.text(alphabet="abcEΣİ \n\t .'́\x01", max_size=40))
+@settings(max_examples=200, deadline=None)
+def test_chunks_encode_like_whole_texts(text):
+    tokenizer = Tokenizer.from_file(PATH) if not hasattr(test_chunks_encode_like_whole_texts, "t") else None
+    if tokenizer is not None:
+        tokenizer.encode_special_tokens = True
+        test_chunks_encode_like_whole_texts.t = tokenizer, packing.ChunkTokenizer(PATH)
+    whole, chunks = test_chunks_encode_like_whole_texts.t
+    assert np.frombuffer(chunks.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_query_on_whole_table(spark, folder, plain):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    verify(QUERIES["op2_packing"](spark, folder).collect(), texts, plain, 4096, 0)

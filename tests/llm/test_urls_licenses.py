@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from layerline.llm import licenses, urls
+from layerline.llm.queries import QUERIES
+
+# -- URLs ------------------------------------------------------------------------------------
+
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def parsed(url: str | None) -> tuple[str, str]:
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    return host.translate(FOLD), re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+def ruled(host: str, path: str) -> tuple[str | None, str | None]:
+    best = None, None
+    for rule in urls.RULES:
+        own, _, start = rule.target.partition("/")
+        if (host == own or host.endswith("." + own)) and path.startswith("/" + start):
+            if best[0] is None or len(rule.target) > len(best[0]):
+                best = rule.target, rule.verdict
+    return best
+
+
+URLS = [
+    None, "", "no scheme", "http://", "http://a.org", "http://a.org/", "HTTP://A.ORG/x", "http://xorg/",
+    "http://org/", "https://www.example.org/es/1?x=://y.com/de/", "https://example.org/en/19", "https://example.org/en/2",
+    "http://shop.com/fr/1", "http://shop.com/de/1", "http://shop.com/de", "http://shop.com?/de/", "http://Ü.com/de/#a",
+    "a://b.org/c://d.com/de/", "http://x.net/de/\nline", "http://u:p@h.com:80/de/1", "ftp://com/de/x", "x" * 5_000,
+    "http://n.net/en/1", "http://n.net/en/2?a=1&b=2", "http://n.info/" + "9" * 3_000,
+]
+
+
+def test_hosts_rules_and_verdicts(spark):
+    rows = [(i, u, "h") for i, u in enumerate(URLS)] + [(4, URLS[4], "h"), (None, URLS[10], "h")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, host string")
+    found = urls.judge(frame).collect()
+    assert len(found) == len(rows)
+    wanted = sorted(((k, *parsed(u), *ruled(*parsed(u))) for k, u, _ in rows), key=repr)
+    for (key, host, path, rule, verdict), row in zip(wanted, sorted(found, key=lambda r: repr(tuple(r)[:4] + (r.verdict,)))):
+        assert (row.page_id, row.host, row.path, row.rule) == (key, host, path, rule)
+        assert row.verdict in ("allow", "block") and 0 <= row.block_score <= 1
+        if rule is not None:
+            assert row.verdict == verdict
+
+
+def test_learns_what_rules_say(spark):
+    """Blocked URLs are long and full of digits; unlabelled ones of that kind are blocked."""
+    rows = [(i, f"http://h{i}.com/de/{'7' * 30}{i}?a=1&b=2&c=3") for i in range(150)]
+    rows += [(i, f"http://h{i}.org/page") for i in range(150, 300)]
+    rows += [(900, f"http://new.net/xx/{'7' * 30}12?a=1&b=2&c=3"), (901, "http://new.net/page")]
+    found = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert (found[900], found[901]) == ("block", "allow")
+
+
+@pytest.mark.parametrize(
+    ("rows", "verdict"),
+    [([(1, "http://x.net/")], "allow"), ([(1, "http://x.net/"), (2, "http://y.com/de/")], "block"), ([(1, None), (2, "http://y.org/")], "allow")],
+)
+def test_nothing_to_learn(spark, rows, verdict):
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    assert {r.page_id: r.verdict for r in urls.judge(frame).collect()}[1] == verdict
+
+
+def test_urls_empty(spark):
+    assert urls.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_entropy(spark):
+    frame = spark.createDataFrame([("",), ("aaaa",), ("abab",), ("abcd",)], "t string")
+    assert [r.e for r in frame.select(urls.entropy(F.col("t")).alias("e")).collect()] == pytest.approx([0, 0, 1, 2])
+
+
+def test_url_query_on_whole_table(spark, folder):
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url").collect()}
+    rows = QUERIES["op9_url_filter"](spark, folder).collect()
+    assert len(rows) == len(pages)
+    for row in rows:
+        rule, verdict = ruled(*parsed(pages[row.page_id]))
+        assert (row.host, row.path, row.rule) == (*parsed(pages[row.page_id]), rule)
+        assert row.verdict == (verdict or row.verdict)
+
+
+# -- licences --------------------------------------------------------------------------------
+
+MIT = """Permission is hereby granted, free of charge, to any person
+obtaining a copy of this software. The above copyright notice and this permission notice shall be
+included in all copies. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+
+CASES = [
+    (1, "Words.\nReleased under the MIT License.\nMore words", ["MitName"], ["MIT"]),
+    (2, MIT, ["MitGrant", "MitNotice", "MitWarranty"], ["MIT"]),
+    (3, "Permission is hereby granted, free of charge, to any person obtaining a copy.", ["MitGrant"], []),
+    (4, "Licensed under the Apache License, Version 2.0. Licensed under CC BY-NC 4.0.", ["ApacheGrant", "CcByNc4"], ["Apache-2.0", "CC-BY-NC-4.0"]),
+    (5, "A license is a paper. No warranty here", [], []),
+    (6, "", [], []),
+    (7, None, [], []),
+    (None, "licensed under the   GNU General\nPublic License, version 3", ["Gpl3"], ["GPL-3.0"]),
+    (8, "Released under the MIT License. " * 3, ["MitName"] * 3, ["MIT"] * 3),
+    (9, "word " * 40_000 + ". Licensed under CC BY 4.0!", ["CcBy4"], ["CC-BY-4.0"]),
+]
+
+
+def test_licences(spark):
+    rows = [(k, t, "x") for k, t, _, _ in CASES] + [(1, CASES[0][1], "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, licences string")
+    found = sorted(((r.doc_id, r.sentence_ids, r.licences) for r in licenses.scan(frame).collect()), key=repr)
+    wanted = [(k, ids, names) for k, _, ids, names in [*CASES, CASES[0]]]
+    assert found == sorted(wanted, key=repr)
+    assert licenses.scan(frame.limit(0)).count() == 0
+
+
+def test_longest_rule_wins_in_order(spark):
+    text = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted. "
+        "Redistributions of source code must retain the above copyright notice. "
+        "Redistributions in binary form must reproduce the above copyright notice. "
+        "{}This software is provided by the authors as is and any express or implied warranties. "
+    )
+    endorse = "Names may be used to endorse or promote products derived from this software without specific permission. "
+    frame = spark.createDataFrame([(1, text.format("")), (2, text.format(endorse))], "doc_id long, text string")
+    found = {r.doc_id: r.licences for r in licenses.scan(frame).collect()}
+    assert found == {1: ["BSD-2-Clause"], 2: ["BSD-3-Clause"]}
+
+
+def test_rules_name_known_sentences():
+    known = {s.id for s in licenses.SENTENCES}
+    assert len(known) == len(licenses.SENTENCES)
+    assert all(s in known for rule in licenses.RULES for s in rule.sentences)
