@@ -11,9 +11,9 @@ Links are confirmed on the full sets.
 Groups of copies do not become all pairs:
 
 - Documents with equal sets are one representative from the start.
-- In each bucket the members are first tried against one hub; then against other hubs, where
-  they are not connected yet. Only pairs of different components that share a bucket are tried one by
-  one at the end, so no link between components is lost.
+- In each bucket the members are first tried against one hub; then, where they are not connected
+  yet, against other hubs. Only when few pairs of different components still share a bucket are
+  those tried one by one, all of them, so no link between components is lost.
 - Components are found by spreading the least label along links, with tables written in between.
 
 Buckets are read as sorted runs, one row at a time. Signatures and sets move only for candidates.
@@ -37,10 +37,18 @@ SYMBOLS = 128
 CHUNKS = 24
 #: Chunks times two, less one: one chunk has at most one error.
 RADIUS = 2 * CHUNKS - 1
-#: Rounds in which bucket members meet a hub, before the remaining pairs.
-HUB_ROUNDS = 3
+#: Lowest bits of 64 symbols. Each of a linked pair differs with probability 0.1 at most; more than
+#: DIGEST_RADIUS of them with less than 1e-6.
+DIGEST = 64
+DIGEST_RADIUS = 20
+#: Rounds in which bucket members meet one hub; the first ones with few hubs over all buckets, later
+#: ones with another hub in each. They end when the remaining pairs are at most PAIRS_A_ROW for each
+#: row of a bucket.
+FEW_HUBS = 3
+HUB_ROUNDS = 12
+PAIRS_A_ROW = 0.25
 WORD_CACHE = 300_000
-SHINGLES_AT_ONCE = 4096
+SHINGLES_AT_ONCE = 256
 
 FOLD = str.maketrans(UPPER, LOWER)
 SPLIT = re.compile("[ \t-\r]+")
@@ -82,17 +90,17 @@ def signer(symbols: int):
     import numpy as np
 
     random = np.random.default_rng(20240607)
-    odd = random.integers(1 << 62, 1 << 63, symbols, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    plus = random.integers(0, 1 << 63, symbols, dtype=np.uint64)
-    last = np.uint64(0xD6E8FEB86659FD93)
+    odd = random.integers(0, 1 << 31, symbols, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    last = np.uint32(0x9E3779B1)
 
     def of(shingles):
-        least = np.full(symbols, np.iinfo(np.uint64).max, np.uint64)
-        for at in range(0, len(shingles), SHINGLES_AT_ONCE):
-            part = shingles[at : at + SHINGLES_AT_ONCE, None] * odd + plus
-            part ^= part >> np.uint64(31)
-            np.minimum(least, (part * last).min(axis=0), out=least)
-        return ((least * last) >> np.uint64(48)).astype("<u2")
+        # Shingles are well mixed already; a product with an odd number permutes 32 bits of them.
+        short = (shingles >> np.uint64(32)).astype(np.uint32)
+        least = np.full(symbols, np.iinfo(np.uint32).max, np.uint32)
+        for at in range(0, len(short), SHINGLES_AT_ONCE):
+            np.minimum(least, (short[at : at + SHINGLES_AT_ONCE, None] * odd).min(axis=0), out=least)
+        least ^= least >> np.uint32(15)
+        return ((least * last) >> np.uint32(16)).astype("<u2")
 
     return of
 
@@ -139,8 +147,16 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("rid", "_text").mapInArrow(run, "rid long, shingles binary")
 
 
+def _digest(signs):
+    """The lowest bits of the first symbols of each signature, as one number."""
+    import numpy as np
+
+    bits = (signs[:, :DIGEST] & 1).astype(np.int64)
+    return (bits << np.arange(bits.shape[1], dtype=np.int64)).sum(axis=1, dtype=np.int64)
+
+
 def _index(representatives: DataFrame, symbols: int, chunks: int) -> DataFrame:
-    """key, rid: for each chunk, its symbols with each one left out."""
+    """key, rid, digest: for each chunk, its symbols with each one left out."""
     edges = chunk_edges(symbols, chunks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,6 +168,7 @@ def _index(representatives: DataFrame, symbols: int, chunks: int) -> DataFrame:
                 batch = whole.slice(at, 1000)
                 ids = batch.column(0).to_numpy()
                 signs = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(len(ids), symbols)
+                digest = pa.array(_digest(signs))
                 for low, high in zip(edges, edges[1:]):
                     for gap in range(low, high):
                         key = np.full(len(ids), gap + 1, np.uint64)  # says chunk and gap
@@ -160,14 +177,14 @@ def _index(representatives: DataFrame, symbols: int, chunks: int) -> DataFrame:
                                 key = (key ^ (key >> np.uint64(31))) * factor + signs[:, i]
                         key = (key ^ (key >> np.uint64(32))) * factor
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(key.view(np.int64)), batch.column(0)], ["key", "rid"]
+                            [pa.array(key.view(np.int64)), batch.column(0), digest], ["key", "rid", "digest"]
                         )
 
-    return representatives.select("rid", "sig").mapInArrow(run, "key long, rid long")
+    return representatives.select("rid", "sig").mapInArrow(run, "key long, rid long, digest long")
 
 
 def _runs(rows: DataFrame, groups: str, order: Column) -> DataFrame:
-    """key, rid, hub: bucket members whose value of ``groups`` is not that of the bucket's hub.
+    """key, rid, digest, hub, hub_digest: members whose value of ``groups`` is not that of the hub.
 
     The hub is the first member in the given order. Rows come sorted by bucket, so a bucket is a run
     of rows, and all that a task keeps of it is its hub.
@@ -176,10 +193,9 @@ def _runs(rows: DataFrame, groups: str, order: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        last_key = hub = hub_group = None
+        last_key, kept = None, (0, 0, 0)
         for batch in batches:
-            key, rid = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            group = batch.column(2).to_numpy()
+            key, rid, digest, group = (batch.column(i).to_numpy() for i in range(4))
             n = len(key)
             if not n:
                 continue
@@ -188,21 +204,28 @@ def _runs(rows: DataFrame, groups: str, order: Column) -> DataFrame:
                 starts[0] = False
             first = np.maximum.accumulate(np.where(starts, np.arange(n), -1))
             inherited = first < 0
-            hubs = np.where(inherited, hub if hub is not None else 0, rid[first])
-            hub_groups = np.where(inherited, hub_group if hub_group is not None else 0, group[first])
-            last_key, hub, hub_group = key[-1], hubs[-1], hub_groups[-1]
-            keep = group != hub_groups
+            hub, hub_digest, hub_group = (
+                np.where(inherited, old, own[first]) for old, own in zip(kept, (rid, digest, group))
+            )
+            last_key, kept = key[-1], (hub[-1], hub_digest[-1], hub_group[-1])
+            keep = group != hub_group
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key[keep]), pa.array(rid[keep]), pa.array(hubs[keep])], ["key", "rid", "hub"]
+                [pa.array(x[keep]) for x in (key, rid, digest, hub, hub_digest)],
+                ["key", "rid", "digest", "hub", "hub_digest"],
             )
 
-    dealt = rows.select("key", "rid", F.col(groups).alias("_group"), order.alias("_order")).repartition("key")
-    dealt = dealt.sortWithinPartitions("key", "_order", "rid").select("key", "rid", "_group")
-    return dealt.mapInArrow(run, "key long, rid long, hub long")
+    dealt = rows.select("key", "rid", "digest", F.col(groups).alias("_group"), order.alias("_order"))
+    dealt = dealt.repartition("key").sortWithinPartitions("key", "_order", "rid").drop("_order")
+    return dealt.mapInArrow(run, "key long, rid long, digest long, hub long, hub_digest long")
 
 
-def _pairs(found: DataFrame, a: str, b: str) -> DataFrame:
-    return found.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct()
+def _alike(x: str, y: str) -> Column:
+    return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= DIGEST_RADIUS
+
+
+def _pairs(found: DataFrame) -> DataFrame:
+    close = found.where(_alike("digest", "hub_digest") & (F.col("rid") != F.col("hub")))
+    return close.select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")).distinct()
 
 
 def _confirmed(pairs: DataFrame, signs: DataFrame, sets: DataFrame, radius: int, percent: int) -> DataFrame:
@@ -314,8 +337,9 @@ def near_duplicates(
     met = _runs(index.withColumn("same", F.col("rid")), "same", F.lit(0))
     met = materialize(met, "buckets")
     # Hubs are members as well; their own rows are not in the runs.
-    members = met.select("key", "rid").union(met.select("key", F.col("hub"))).distinct()
+    members = met.select("key", "rid", "digest").union(met.select("key", "hub", "hub_digest")).distinct()
     members = materialize(members, "members")
+    copies_met = members.count()
     # Texts of the documents that met another one, each by its home row.
     homes = members.select("rid").distinct().join(copies, "rid").select(
         "rid", F.col("home.k").alias("_key"), F.col("home.t").alias("_th")
@@ -326,26 +350,41 @@ def near_duplicates(
     wanted = texts.join(listed, same).select("rid", "_text")
     sets = materialize(_sets(wanted, words).dropDuplicates(["rid"]), "sets")
 
-    links = materialize(_confirmed(_pairs(met, "rid", "hub"), signs, sets, radius, percent), "confirmed")
+    links = materialize(_confirmed(_pairs(met), signs, sets, radius, percent), "confirmed")
     labels = components(links)
-    for number in range(1, HUB_ROUNDS + 1):
+    last = False
+    for number in range(1, HUB_ROUNDS + 2):
+        # Buckets that hold more than one component, and how many pairs they still have.
         own = members.join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-        if number < HUB_ROUNDS:
-            found = materialize(_runs(own, "label", F.xxhash64("rid", F.lit(number))), "buckets")
-            if found.isEmpty():
-                break  # each bucket is of one component
-            pairs = _pairs(found, "rid", "hub")
+        sizes = own.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_n"))
+        sizes = sizes.groupBy("key").agg(
+            F.count(F.lit(1)).alias("_labels"),
+            F.sum("_n").alias("_rows"),
+            ((F.sum("_n") * F.sum("_n") - F.sum(F.col("_n") * F.col("_n"))) / 2).alias("_left"),
+        )
+        members = materialize(
+            own.join(sizes.where("_labels > 1"), "key").select("key", "rid", "digest", "label", "_rows", "_left"), "open"
+        )
+        found = members.agg(F.count(F.lit(1)), F.sum(F.col("_left") / F.col("_rows"))).first()
+        if not found[0]:
+            break
+        last = number > HUB_ROUNDS or found[1] <= PAIRS_A_ROW * copies_met
+        if not last:
+            order = F.xxhash64("rid", F.lit(number)) if number < FEW_HUBS else F.xxhash64("rid", "key", F.lit(number))
+            pairs = _pairs(_runs(members, "label", order))
         else:
-            # what is left: all pairs of different components that share a bucket
-            split = own.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-            own = materialize(own.join(split.select("key"), "key"), "open-buckets")
-            left = own.select("key", F.col("rid").alias("a"), F.col("label").alias("_la"))
-            right = own.select("key", F.col("rid").alias("b"), F.col("label").alias("_lb"))
-            pairs = left.join(right, "key").where("a < b and _la <> _lb").select("a", "b").distinct()
+            # All pairs of different components that share a bucket.
+            left = members.select("key", F.col("rid").alias("a"), F.col("label").alias("_la"), F.col("digest").alias("_da"))
+            right = members.select("key", F.col("rid").alias("b"), F.col("label").alias("_lb"), F.col("digest").alias("_db"))
+            met = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("_la") != F.col("_lb")) & _alike("_da", "_db"))
+            pairs = met.select("a", "b").distinct()
+        members = members.select("key", "rid", "digest")
         new = materialize(_confirmed(pairs, signs, sets, radius, percent), "confirmed")
         if not new.isEmpty():
             links = links.union(new)
             labels = components(links)
+        if last:
+            break
 
     named = copies.join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
     least = named.groupBy("label").agg(F.min("home.k").alias("component"))
