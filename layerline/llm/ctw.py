@@ -36,7 +36,7 @@ from layerline.llm.common import LOWER, UPPER, TwoAges, remainder
 from layerline.operators.scale import materialize, scratch_dir
 
 DEPTH = 5
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 40 << 20
 BUCKETS = 512
 #: Bytes counted at once, and distinct n-grams or words held before they leave a task.
 COUNT_AT_ONCE = 1 << 21
@@ -210,13 +210,15 @@ def count(texts: DataFrame, depth: int) -> DataFrame:
             keys, counts, part = keys[order], counts[order], part[order]
             cuts = np.flatnonzero(np.diff(part)) + 1
             starts = [0, *cuts.tolist()]
+            keys = _shortened(keys, kind, depth)
+            # A chunk is less than 4 GB, and so are its counts.
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([chunk] * len(starts), pa.int64()),
                     pa.array([kind] * len(starts), pa.int32()),
                     pa.array(part[starts], pa.int64()),
-                    pa.array([x.astype("<i8").tobytes() for x in np.split(keys, cuts)], pa.binary()),
-                    pa.array([x.astype("<i8").tobytes() for x in np.split(counts, cuts)], pa.binary()),
+                    pa.array([x.tobytes() for x in np.split(keys, cuts)], pa.binary()),
+                    pa.array([x.astype("<u4").tobytes() for x in np.split(counts, cuts)], pa.binary()),
                 ],
                 ["chunk", "kind", "part", "keys", "counts"],
             )
@@ -262,12 +264,30 @@ def count(texts: DataFrame, depth: int) -> DataFrame:
     return texts.mapInArrow(run, COUNTS)
 
 
-def _gathered(frame):
+def _shortened(keys, kind: int, depth: int):
+    """Without the two bytes that the part says, an n-gram of six bytes has four."""
+    if kind != GRAM:
+        return keys.astype("<i8")
+    short = (keys >> 24) << 8 | keys & 255
+    return short.astype("<u4" if depth <= 5 else "<i8")
+
+
+def _restored(data: bytes, kind: int, part: int, depth: int):
+    import numpy as np
+
+    if kind != GRAM:
+        return np.frombuffer(data, "<i8")
+    short = np.frombuffer(data, "<u4" if depth <= 5 else "<i8").astype(np.int64)
+    return (short >> 8) << 24 | part << 8 | short & 255
+
+
+def _gathered(frame, depth: int):
     """Distinct keys of a group with their summed counts, and where each row's keys are."""
     import numpy as np
 
-    lists = [np.frombuffer(b, "<i8") for b in frame["keys"]]
-    counts = np.concatenate([np.frombuffer(b, "<i8") for b in frame["counts"]])
+    kind, part = int(frame["kind"].iloc[0]), int(frame["part"].iloc[0])
+    lists = [_restored(b, kind, part, depth) for b in frame["keys"]]
+    counts = np.concatenate([np.frombuffer(b, "<u4") for b in frame["counts"]])
     found, place = np.unique(np.concatenate(lists), return_inverse=True)
     edges = np.cumsum([0, *map(len, lists)])
     return found, np.bincount(place, counts, len(found)).astype(np.int64), place, edges
@@ -284,7 +304,7 @@ def tops(counts: DataFrame, depth: int) -> tuple:
     def run(frame):
         import pandas as pd
 
-        keys, times, _, _ = _gathered(frame)
+        keys, times, _, _ = _gathered(frame, depth)
         tables = log_gamma_tables()
         out = []
         for bit in range(8):
@@ -332,14 +352,26 @@ def tops(counts: DataFrame, depth: int) -> tuple:
     )
 
 
-ENTRIES = "chunk long, kind int, keys binary, logs binary, distinct long, total long"
+def vocabulary(counts: DataFrame, depth: int) -> tuple[int, int]:
+    """Distinct training tokens and their number."""
+
+    def run(frame):
+        import pandas as pd
+
+        _, times, _, _ = _gathered(frame, depth)
+        return pd.DataFrame({"distinct": [int((times > 0).sum())], "total": [int(times.sum())]})
 
+    words = counts.where(F.col("kind") == TOKEN).groupBy("part")
+    found = words.applyInPandas(run, "distinct long, total long").agg(F.sum("distinct"), F.sum("total"))
+    distinct, total = found.first()
+    return int(distinct or 0), int(total or 0)
 
-def entries(counts: DataFrame, depth: int, top: tuple) -> DataFrame:
-    """For each chunk, the log10 probabilities of its n-grams and the counts of its words.
 
-    Rows of chunk -1 carry the distinct training tokens of a bucket and their number.
-    """
+ENTRIES = "chunk long, kind int, part long, keys binary, values binary"
+
+
+def entries(counts: DataFrame, depth: int, top: tuple) -> DataFrame:
+    """For each chunk, the log10 probabilities of its n-grams and the training counts of its words."""
     shared = counts.sparkSession.sparkContext.broadcast(top)  # five arrays of 256 * 256
 
     def log_chances(keys, times):
@@ -362,26 +394,20 @@ def entries(counts: DataFrame, depth: int, top: tuple) -> DataFrame:
         return logs
 
     def run(frame):
-        import numpy as np
         import pandas as pd
 
-        keys, times, place, edges = _gathered(frame)
-        gram = frame["kind"].iloc[0] == GRAM
-        values = log_chances(keys, times) if gram else times.astype(np.float64)
-        lists = [place[a:b] for a, b in zip(edges, edges[1:])]
-        out = pd.DataFrame(
+        keys, times, place, edges = _gathered(frame, depth)
+        kind = int(frame["kind"].iloc[0])
+        values = log_chances(keys, times).astype("<f4") if kind == GRAM else times.astype("<i8")
+        return pd.DataFrame(
             {
-                "chunk": frame["chunk"].to_numpy(),
-                "kind": frame["kind"].to_numpy(),
-                "keys": [keys[p].astype("<i8").tobytes() for p in lists],
-                "logs": [values[p].astype("<f8").tobytes() for p in lists],
-                "distinct": 0,
-                "total": 0,
+                "chunk": frame["chunk"],
+                "kind": frame["kind"],
+                "part": frame["part"],
+                "keys": frame["keys"],
+                "values": [values[place[a:b]].tobytes() for a, b in zip(edges, edges[1:])],
             }
         )
-        if not gram:
-            out.loc[len(out)] = [-1, TOKEN, b"", b"", int((times > 0).sum()), int(times.sum())]
-        return out
 
     return counts.groupBy("kind", "part").applyInPandas(run, ENTRIES)
 
@@ -397,16 +423,16 @@ def score(
 
     Learns from rows whose crc32 of the key as text is not 0 modulo 10; null keys are learnt from.
     ``score`` is the log10 probability of the words, one blank between them, and the end;
-    ``bits_per_byte`` its code length over those bytes. A null text counts as empty: its end alone.
+    ``bits_per_byte`` its code length over those bytes (log probabilities of n-grams travel in single
+    precision). A null text counts as empty: its end alone.
     Equal rows count and stay, other columns are ignored, an empty table gives no rows. Without
     training text every byte costs eight bits.
     """
     held_out = F.coalesce(remainder(F.col(key), 10) == 0, F.lit(False))
     texts = prepare(documents, key, text, held_out)
     counts = materialize(count(texts, depth), "ctw-counts")
-    model = materialize(entries(counts, depth, tops(counts, depth)), "ctw-entries")
-    totals = model.where("chunk = -1").agg(F.sum("distinct"), F.sum("total")).first()
-    distinct, total = (int(x or 0) for x in totals)
+    distinct, total = vocabulary(counts, depth)
+    model = entries(counts, depth, tops(counts, depth))
     kind = texts.schema["key"].dataType.simpleString()
     schema = (
         f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -420,11 +446,12 @@ def score(
         word_hash = word_hashes()
         found = {}
         for which in (GRAM, TOKEN):
-            part = own[own["kind"] == which]
-            keys = np.frombuffer(b"".join(part["keys"]), "<i8")
-            logs = np.frombuffer(b"".join(part["logs"]), "<f8")
+            mine = own[own["kind"] == which]
+            lists = [_restored(b, which, p, depth) for b, p in zip(mine["keys"], mine["part"])]
+            keys = np.concatenate([np.empty(0, np.int64), *lists])
+            values = np.frombuffer(b"".join(mine["values"]), "<f4" if which == GRAM else "<i8")
             order = np.argsort(keys, kind="stable")
-            found[which] = keys[order], logs[order]
+            found[which] = keys[order], values[order].astype(np.float64)
         gram_keys, gram_logs = found[GRAM]
         word_keys, word_counts = found[TOKEN]
         base = np.log10((word_counts + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))
@@ -450,5 +477,5 @@ def score(
         return result
 
     return (
-        texts.groupBy("chunk").cogroup(model.where("chunk >= 0").groupBy("chunk")).applyInPandas(run, schema)
+        texts.groupBy("chunk").cogroup(model.groupBy("chunk")).applyInPandas(run, schema)
     )
