@@ -1,7 +1,8 @@
 """Toxicity by multiple-instance learning: sentences are scored, documents are labelled.
 
-A sentence's probability is logistic in its words (and their first four letters); a document is
-toxic unless none of its sentences is: ``1 - prod(1 - p)``, a noisy-or. The weights are learnt from
+A sentence's probability is logistic in its words (and their first four letters), and 0 where none of
+them tells anything; a document is toxic unless none of its sentences is, or for another reason:
+``1 - (1 - leak) * prod(1 - p)``, a noisy-or. So a long clean text is not worse than a short one. The weights are learnt from
 document labels alone, by full-batch Adam on the noisy-or likelihood; afterwards the sentence
 probabilities locate what offends.
 
@@ -49,6 +50,7 @@ class Settings:
 class Model:
     weights: object  # numpy array; words, then prefixes
     bias: float
+    leak: float  # the score without evidence
 
 
 def _slots(word: str, bits: int) -> tuple[int, int]:
@@ -67,8 +69,7 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
     size = 1 << settings.bits
     labels = np.array([y for _, y in rows], dtype=np.float64)
     if not len(rows) or labels.min() == labels.max():
-        known = bool(len(rows)) and labels[0] == 1
-        return Model(np.zeros(size, np.float32), 30.0 if known else -30.0)
+        return Model(np.zeros(size, np.float32), 0.0, float(len(rows) and labels[0]))
     slots: dict[str, tuple[int, int]] = {}
     tokens, per_sentence, per_document = [], [], []
     for text, _ in rows:
@@ -100,15 +101,22 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
     keep = useful[tokens]
     tokens, sentence_of = tokens[keep], sentence_of[keep]
     features, tokens = np.unique(tokens, return_inverse=True)
+    # Sentences without a feature are no evidence; documents without any show the leak.
+    telling, sentence_of = np.unique(sentence_of, return_inverse=True)
+    document_of = document_of[telling]
+    silent = np.ones(len(rows), bool)
+    silent[document_of] = False
+    leak = min(0.5, (labels[silent].sum() + 0.5) / (silent.sum() + 1))
 
     weights = np.zeros(len(features) + 1)
     weights[-1] = -4.0  # the bias
     first, second = np.zeros_like(weights), np.zeros_like(weights)
-    n = len(per_sentence)
+    n = len(telling)
     for step in range(1, settings.steps + 1):
         z = weights[-1] + np.bincount(sentence_of, weights[tokens], minlength=n)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         none = np.bincount(document_of, np.log1p(np.exp(np.clip(z, -30, 30))), minlength=len(rows))
+        none -= np.log1p(-leak)
         # d(-log likelihood) / d(sum of softplus): 1 for a clean document, else -1 / (e^S - 1)
         pull = np.where(labels > 0, -1 / np.expm1(np.clip(none, 1e-9, 500)), 1.0)
         at = np.clip(pull[document_of] * p, -50, 50)
@@ -123,14 +131,14 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
         )
     table = np.zeros(size, np.float32)
     table[features] = weights[:-1]
-    return Model(table, float(weights[-1]))
+    return Model(table, float(weights[-1]), float(leak))
 
 
 class Scorer:
     """Log odds of the sentences of a text."""
 
     def __init__(self, model: Model, bits: int) -> None:
-        self._weights, self._bias, self._bits = model.weights, model.bias, bits
+        self._weights, self._bias, self._leak, self._bits = model.weights, model.bias, model.leak, bits
         self._known = TwoAges(WORD_CACHE)
 
     def _weight(self, word: str) -> float:
@@ -148,26 +156,27 @@ class Scorer:
         return sum([young[w] if w in young else weight(w) for w in words])
 
     def sentences(self, text: str) -> tuple[list[tuple[int, int]], list[float]]:
-        """Spans (code points) and probabilities of the sentences with a word."""
+        """Spans (code points) and probabilities of the sentences with evidence."""
         import math
 
         spans, values, start = [], [], 0
         for sentence in text.translate(CUTS).split("\n"):
             words = sentence.split()
             if words:
-                z = self._bias + self._sum(words if len(words) < 4 else list(set(words)))
-                spans.append((start, start + len(sentence)))
-                values.append(1 / (1 + math.exp(-min(30.0, max(-30.0, z)))))
+                evidence = self._sum(words if len(words) < 4 else list(set(words)))
+                if evidence:
+                    z = self._bias + evidence
+                    spans.append((start, start + len(sentence)))
+                    values.append(1 / (1 + math.exp(-min(30.0, max(-30.0, z)))))
             start += len(sentence) + 1
         return spans, values
 
     def document(self, probabilities: list[float]) -> float:
-        """Noisy-or; a text without words is as likely toxic as a sentence without evidence."""
+        """Noisy-or with the leak."""
         import math
 
-        if not probabilities:
-            return 1 / (1 + math.exp(-self._bias))
-        return -math.expm1(sum([math.log1p(-min(p, 1 - 1e-12)) for p in probabilities]))
+        clean = sum([math.log1p(-min(p, 1 - 1e-12)) for p in probabilities])
+        return 1 - (1 - self._leak) * math.exp(clean)
 
 
 def training_sample(
@@ -223,7 +232,7 @@ def score(
     spans_type = "array<struct<start:long,stop:long,probability:double>>"
     schema = f"`{key}` {kind}, score double" + (f", offending {spans_type}" if located else "")
     # 2 ** bits numbers, whatever the input
-    shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.leak))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(Model(*shared.value), bits)
@@ -279,7 +288,7 @@ def keep_clean(
 
     A filter in one pass: no verdicts are joined back.
     """
-    shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.leak))
     at = documents.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

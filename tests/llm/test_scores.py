@@ -99,7 +99,8 @@ def close(found, wanted) -> None:
     order = lambda row: (str(row[0]), row[2], row[5])
     for mine, theirs in zip(sorted(found, key=order), sorted(wanted, key=order)):
         assert mine[:5] == theirs[:5]
-        assert mine[5:7] == pytest.approx(theirs[5:7], rel=1e-9, abs=1e-9)
+        assert mine[5] == pytest.approx(theirs[5], rel=1e-9, abs=1e-9)
+        assert mine[6] == pytest.approx(theirs[6], rel=1e-6)
 
 
 @pytest.mark.parametrize("depth", [2, 3])
