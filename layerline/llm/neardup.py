@@ -5,15 +5,17 @@ A document's set is its distinct word shingles; documents are linked if their se
 of two linked documents at most every fifth value differs on average. Two signatures that differ in
 at most ``RADIUS`` values must, by pigeonhole, differ in at most one value in one of the ``CHUNKS``
 chunks; so each chunk is indexed once for each of its values left out, and all pairs under the
-signature distance meet. A link at the threshold is beyond the radius with probability below 1e-5.
+signature distance meet. A 128-bit digest of the
+signature goes along and rules out most of the pairs that meet by chance. A link at the threshold is
+beyond either radius with probability below 2e-5.
 Links are confirmed on the full sets.
 
 Groups of copies do not become all pairs:
 
 - Documents with equal sets are one representative from the start.
 - In each bucket the members are first tried against one hub; then, where they are not connected
-  yet, against other hubs. Only when few pairs of different components still share a bucket are
-  those tried one by one, all of them, so no link between components is lost.
+  yet, against other hubs, as long as that finds links. Then all pairs of different components that
+  still share a bucket are tried one by one, so no link between components is lost.
 - Components are found by spreading the least label along links, with tables written in between.
 
 Buckets are read as sorted runs, one row at a time. Signatures and sets move only for candidates.
@@ -37,16 +39,16 @@ SYMBOLS = 128
 CHUNKS = 24
 #: Chunks times two, less one: one chunk has at most one error.
 RADIUS = 2 * CHUNKS - 1
-#: Lowest bits of 64 symbols. Each of a linked pair differs with probability 0.1 at most; more than
-#: DIGEST_RADIUS of them with less than 1e-6.
-DIGEST = 64
-DIGEST_RADIUS = 20
-#: Rounds in which bucket members meet one hub; the first ones with few hubs over all buckets, later
-#: ones with another hub in each. They end when the remaining pairs are at most PAIRS_A_ROW for each
-#: row of a bucket.
+#: Each of the lowest bits of 128 symbols differs with probability 0.1 at most in a linked pair; more
+#: than DIGEST_RADIUS of them with less than 1e-5.
+DIGEST_RADIUS = 30
+#: Rounds in which bucket members meet one hub: the first ones with few hubs over all buckets, later
+#: ones with another hub in each, of which a document tries HUBS_A_ROUND at a time. They end when less
+#: than LEAST_YIELD of the tried pairs are links; all other pairs follow then.
 FEW_HUBS = 3
-HUB_ROUNDS = 12
-PAIRS_A_ROW = 0.25
+HUB_ROUNDS = 10
+HUBS_A_ROUND = 8
+LEAST_YIELD = 0.05
 WORD_CACHE = 300_000
 SHINGLES_AT_ONCE = 256
 
@@ -148,15 +150,17 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
 
 
 def _digest(signs):
-    """The lowest bits of the first symbols of each signature, as one number."""
+    """The lowest bits of the symbols of each signature, as bytes of 128 bits or as many as there are."""
     import numpy as np
 
-    bits = (signs[:, :DIGEST] & 1).astype(np.int64)
-    return (bits << np.arange(bits.shape[1], dtype=np.int64)).sum(axis=1, dtype=np.int64)
+    packed = np.packbits((signs & 1).astype(np.uint8), axis=1)
+    wide = np.zeros((len(packed), 16), np.uint8)
+    wide[:, : packed.shape[1]] = packed[:, :16]
+    return wide.view("<i8")
 
 
 def _index(representatives: DataFrame, symbols: int, chunks: int) -> DataFrame:
-    """key, rid, digest: for each chunk, its symbols with each one left out."""
+    """key, rid, d1, d2 (digest): for each chunk, its symbols with each one left out."""
     edges = chunk_edges(symbols, chunks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +172,7 @@ def _index(representatives: DataFrame, symbols: int, chunks: int) -> DataFrame:
                 batch = whole.slice(at, 1000)
                 ids = batch.column(0).to_numpy()
                 signs = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(len(ids), symbols)
-                digest = pa.array(_digest(signs))
+                digest = [pa.array(column) for column in np.ascontiguousarray(_digest(signs).T)]
                 for low, high in zip(edges, edges[1:]):
                     for gap in range(low, high):
                         key = np.full(len(ids), gap + 1, np.uint64)  # says chunk and gap
@@ -177,14 +181,14 @@ def _index(representatives: DataFrame, symbols: int, chunks: int) -> DataFrame:
                                 key = (key ^ (key >> np.uint64(31))) * factor + signs[:, i]
                         key = (key ^ (key >> np.uint64(32))) * factor
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(key.view(np.int64)), batch.column(0), digest], ["key", "rid", "digest"]
+                            [pa.array(key.view(np.int64)), batch.column(0), *digest], ["key", "rid", "d1", "d2"]
                         )
 
-    return representatives.select("rid", "sig").mapInArrow(run, "key long, rid long, digest long")
+    return representatives.select("rid", "sig").mapInArrow(run, "key long, rid long, d1 long, d2 long")
 
 
 def _runs(rows: DataFrame, groups: str, order: Column) -> DataFrame:
-    """key, rid, digest, hub, hub_digest: members whose value of ``groups`` is not that of the hub.
+    """key, rid and hub with their digests: members whose value of ``groups`` is not that of the hub.
 
     The hub is the first member in the given order. Rows come sorted by bucket, so a bucket is a run
     of rows, and all that a task keeps of it is its hub.
@@ -193,9 +197,9 @@ def _runs(rows: DataFrame, groups: str, order: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        last_key, kept = None, (0, 0, 0)
+        last_key, kept = None, (0, 0, 0, 0)
         for batch in batches:
-            key, rid, digest, group = (batch.column(i).to_numpy() for i in range(4))
+            key, rid, d1, d2, group = (batch.column(i).to_numpy() for i in range(5))
             n = len(key)
             if not n:
                 continue
@@ -204,27 +208,34 @@ def _runs(rows: DataFrame, groups: str, order: Column) -> DataFrame:
                 starts[0] = False
             first = np.maximum.accumulate(np.where(starts, np.arange(n), -1))
             inherited = first < 0
-            hub, hub_digest, hub_group = (
-                np.where(inherited, old, own[first]) for old, own in zip(kept, (rid, digest, group))
+            hub, h1, h2, hub_group = (
+                np.where(inherited, old, own[first]) for old, own in zip(kept, (rid, d1, d2, group))
             )
-            last_key, kept = key[-1], (hub[-1], hub_digest[-1], hub_group[-1])
+            last_key, kept = key[-1], (hub[-1], h1[-1], h2[-1], hub_group[-1])
             keep = group != hub_group
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[keep]) for x in (key, rid, digest, hub, hub_digest)],
-                ["key", "rid", "digest", "hub", "hub_digest"],
+                [pa.array(x[keep]) for x in (key, rid, d1, d2, hub, h1, h2)],
+                ["key", "rid", "d1", "d2", "hub", "h1", "h2"],
             )
 
-    dealt = rows.select("key", "rid", "digest", F.col(groups).alias("_group"), order.alias("_order"))
+    dealt = rows.select("key", "rid", "d1", "d2", F.col(groups).alias("_group"), order.alias("_order"))
     dealt = dealt.repartition("key").sortWithinPartitions("key", "_order", "rid").drop("_order")
-    return dealt.mapInArrow(run, "key long, rid long, digest long, hub long, hub_digest long")
+    return dealt.mapInArrow(run, "key long, rid long, d1 long, d2 long, hub long, h1 long, h2 long")
 
 
-def _alike(x: str, y: str) -> Column:
-    return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= DIGEST_RADIUS
+def _alike(x1: str, x2: str, y1: str, y2: str) -> Column:
+    first, second = (F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in ((x1, y1), (x2, y2)))
+    return first + second <= DIGEST_RADIUS
 
 
-def _pairs(found: DataFrame) -> DataFrame:
-    close = found.where(_alike("digest", "hub_digest") & (F.col("rid") != F.col("hub")))
+def _pairs(found: DataFrame, most: int | None = None) -> DataFrame:
+    """Members and hubs that may be alike; ``most`` of them for each member, chosen by hash."""
+    close = found.where(_alike("d1", "d2", "h1", "h2") & (F.col("rid") != F.col("hub")))
+    if most is not None:
+        # A document is in as many buckets as there are symbols, so its list is bounded.
+        own = F.sort_array(F.collect_set(F.struct(F.xxhash64("rid", "hub").alias("o"), "hub")))
+        close = close.groupBy("rid").agg(F.slice(own, 1, most).alias("_hubs"))
+        close = close.select("rid", F.explode("_hubs.hub").alias("hub"))
     return close.select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")).distinct()
 
 
@@ -337,9 +348,8 @@ def near_duplicates(
     met = _runs(index.withColumn("same", F.col("rid")), "same", F.lit(0))
     met = materialize(met, "buckets")
     # Hubs are members as well; their own rows are not in the runs.
-    members = met.select("key", "rid", "digest").union(met.select("key", "hub", "hub_digest")).distinct()
+    members = met.select("key", "rid", "d1", "d2").union(met.select("key", "hub", "h1", "h2")).distinct()
     members = materialize(members, "members")
-    copies_met = members.count()
     # Texts of the documents that met another one, each by its home row.
     homes = members.select("rid").distinct().join(copies, "rid").select(
         "rid", F.col("home.k").alias("_key"), F.col("home.t").alias("_th")
@@ -350,41 +360,38 @@ def near_duplicates(
     wanted = texts.join(listed, same).select("rid", "_text")
     sets = materialize(_sets(wanted, words).dropDuplicates(["rid"]), "sets")
 
-    links = materialize(_confirmed(_pairs(met), signs, sets, radius, percent), "confirmed")
-    labels = components(links)
-    last = False
+    links, labels, last = None, None, False
+    pairs = _pairs(met)
     for number in range(1, HUB_ROUNDS + 2):
-        # Buckets that hold more than one component, and how many pairs they still have.
-        own = members.join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-        sizes = own.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_n"))
-        sizes = sizes.groupBy("key").agg(
-            F.count(F.lit(1)).alias("_labels"),
-            F.sum("_n").alias("_rows"),
-            ((F.sum("_n") * F.sum("_n") - F.sum(F.col("_n") * F.col("_n"))) / 2).alias("_left"),
-        )
-        members = materialize(
-            own.join(sizes.where("_labels > 1"), "key").select("key", "rid", "digest", "label", "_rows", "_left"), "open"
-        )
-        found = members.agg(F.count(F.lit(1)), F.sum(F.col("_left") / F.col("_rows"))).first()
-        if not found[0]:
-            break
-        last = number > HUB_ROUNDS or found[1] <= PAIRS_A_ROW * copies_met
-        if not last:
-            order = F.xxhash64("rid", F.lit(number)) if number < FEW_HUBS else F.xxhash64("rid", "key", F.lit(number))
-            pairs = _pairs(_runs(members, "label", order))
-        else:
-            # All pairs of different components that share a bucket.
-            left = members.select("key", F.col("rid").alias("a"), F.col("label").alias("_la"), F.col("digest").alias("_da"))
-            right = members.select("key", F.col("rid").alias("b"), F.col("label").alias("_lb"), F.col("digest").alias("_db"))
-            met = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("_la") != F.col("_lb")) & _alike("_da", "_db"))
-            pairs = met.select("a", "b").distinct()
-        members = members.select("key", "rid", "digest")
+        pairs = materialize(pairs, "pairs")
         new = materialize(_confirmed(pairs, signs, sets, radius, percent), "confirmed")
-        if not new.isEmpty():
-            links = links.union(new)
+        linked = new.count()
+        if links is None or linked:
+            links = new if links is None else links.union(new)
             labels = components(links)
         if last:
             break
+        # Buckets that still hold more than one component.
+        own = members.join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+        split = own.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
+        open_rows = materialize(own.join(split.select("key"), "key"), "open").select("key", "rid", "d1", "d2", "label")
+        if open_rows.isEmpty():
+            break
+        members = open_rows.drop("label")
+        last = number == HUB_ROUNDS or linked < LEAST_YIELD * pairs.count()
+        if last:
+            # All pairs of different components that share a bucket.
+            sides = [
+                open_rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("rid", "d1", "d2", "label")])
+                for side in ("a", "b")
+            ]
+            apart = (F.col("rid_a") < F.col("rid_b")) & (F.col("label_a") != F.col("label_b"))
+            shared = sides[0].join(sides[1], "key").where(apart & _alike("d1_a", "d2_a", "d1_b", "d2_b"))
+            pairs = shared.select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")).distinct()
+        elif number < FEW_HUBS:
+            pairs = _pairs(_runs(open_rows, "label", F.xxhash64("rid", F.lit(number))))
+        else:
+            pairs = _pairs(_runs(open_rows, "label", F.xxhash64("rid", "key", F.lit(number))), HUBS_A_ROUND)
 
     named = copies.join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
     least = named.groupBy("label").agg(F.min("home.k").alias("component"))
