@@ -459,7 +459,9 @@ def score(
         for data in rows["body"]:
             words = np.array([*[word_hash(w) for w in data.split(b" ") if w], word_hash(b"")], np.int64)
             at = np.searchsorted(word_keys, words)
-            value = float(gram_logs[np.searchsorted(gram_keys, grams(data, depth))].sum())
+            # looked up in order, which keeps to a part of the table at a time
+            own_grams = np.sort(grams(data, depth))
+            value = float(gram_logs[np.searchsorted(gram_keys, own_grams)].sum())
             out.append(
                 (
                     len(words),
