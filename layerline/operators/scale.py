@@ -19,10 +19,10 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 
-# A key is hot when one task would have to sort more rows of it than this,
-# or more than this share of all rows. The share bounds the number of hot keys.
+# A key is hot when one task would have to sort more rows of it than this. Hot keys are cut into
+# chunks of that many rows, whatever the input; at most this many keys are looked for.
 HOT_ROWS = 2_000_000
-HOT_SHARE = 1e-4
+HOT_KEYS = 10_000
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -87,17 +87,17 @@ def find_hot_keys(
     keys: Sequence[str],
     *,
     hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
+    most: int = HOT_KEYS,
 ) -> HotKeys:
-    """One scan of the key columns into a mergeable top-k sketch. A null key counts as a key."""
-    limit = min(10_000, math.ceil(1 / hot_share))
+    """One scan of the key columns into a mergeable top-k sketch. A null key counts as a key.
+
+    A chunk holds ``hot_rows`` rows whatever the input; the number of chunks grows with it.
+    """
     row = df.select(F.xxhash64(*keys).alias("h")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(h, {limit}, {max(10_000, 10 * limit)})").alias("top"),
+        F.expr(f"approx_top_k(h, {most}, {max(10_000, 10 * most)})").alias("top"),
     ).first()
-    threshold = max(hot_rows, row.n * hot_share)
-    hot = [item for item in (row.top or []) if item["count"] > threshold]
-    chunks = sum(math.ceil(item["count"] / threshold) for item in hot)
+    hot = [item for item in (row.top or []) if item["count"] > hot_rows]
+    chunks = sum(math.ceil(item["count"] / hot_rows) for item in hot)
     return HotKeys(tuple(item["item"] for item in hot), chunks)
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerline.operators.clean import duplicate_keys, latest_per_key, require_unique
-from layerline.operators.contracts import DriftKind, classify_drift, conform
+from layerline.operators.contracts import conform, drift_kind, schema_findings
 from layerline.operators.diff import diff_counts, keyed_diff
 from layerline.operators.merge import ACTION, merge_changes, merge_counts, merge_frames
 from layerline.operators.quality import (
@@ -206,21 +206,29 @@ def _schema(**fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
 
 
-def test_drift(spark):
-    want = _schema(id=T.IntegerType())
-    assert classify_drift(want, want, ["id"]).kind is DriftKind.NONE
-    assert classify_drift(_schema(id=T.IntegerType(), note=T.StringType()), want, ["id"]).added == ("note",)
-    assert classify_drift(_schema(id=T.LongType()), want, ["id"]).kind is DriftKind.NONE
-    lost = classify_drift(_schema(note=T.StringType()), want, ["id"])
-    assert lost.kind is DriftKind.BREAKING and lost.dropped_key_columns == ("id",)
-    narrowed = classify_drift(_schema(id=T.ShortType()), want, ["id"])
-    assert narrowed.changed == (("id", "int", "smallint"),)
-    # A dropped column that is no key goes unreported.
-    assert classify_drift(want, _schema(id=T.IntegerType(), x=T.StringType()), ["id"]).kind is DriftKind.NONE
+def test_drift():
+    want = _schema(id=T.IntegerType(), label=T.StringType())
+
+    def findings(**fields):
+        return {f.column: f.finding for f in schema_findings(_schema(**fields), want, ["id"])}
+
+    assert findings(id=T.IntegerType(), label=T.StringType()) == {"id": "same", "label": "same"}
+    assert findings(id=T.LongType(), extra=T.DateType()) == {"id": "same", "label": "absent", "extra": "new"}
+    assert findings(id=T.ShortType(), label=T.StringType())["id"] == "narrowed"
+    assert findings(label=T.StringType())["id"] == "key lost"
+
+    def kind(observed, expected, keys=()):
+        return drift_kind(schema_findings(observed, expected, keys))
+
+    assert kind(want, want, ["id"]) == "none"
+    # A lost column that is no key does no harm, a new one is an addition.
+    assert kind(_schema(id=T.IntegerType()), want, ["id"]) == "none"
+    assert kind(_schema(id=T.IntegerType(), extra=T.DateType()), want, ["id"]) == "additive"
+    assert kind(_schema(label=T.StringType()), want, ["id"]) == "breaking"
     money = _schema(m=T.DecimalType(18, 2))
-    assert classify_drift(_schema(m=T.DecimalType(20, 2)), money, []).kind is DriftKind.NONE
-    assert classify_drift(_schema(m=T.DecimalType(20, 4)), money, []).kind is DriftKind.BREAKING
-    assert classify_drift(_schema(m=T.DecimalType(16, 2)), money, []).kind is DriftKind.BREAKING
+    assert kind(_schema(m=T.DecimalType(20, 2)), money) == "none"
+    assert kind(_schema(m=T.DecimalType(20, 4)), money) == "breaking"
+    assert kind(_schema(m=T.DecimalType(16, 2)), money) == "breaking"
 
 
 def test_conform(spark):
