@@ -7,7 +7,7 @@ number) of first occurrences; a chain of near lines thus keeps only its first.
 Near lines by segments: of ``edits + 1`` segments of the shorter line, one must occur unchanged in the
 other, not far from its place. So each distinct line is indexed by its segments (number, length
 and hash) and probes, for each length it may match, the substrings at the admissible places. Lines that
-meet are verified by Spark's ``levenshtein`` with a threshold, which computes the band of the matrix only.
+meet and have about the same letters are verified by Spark's ``levenshtein`` with a threshold, which computes the band of the matrix only.
 
 Equal lines are folded map-side before any shuffle; distinct lines cross the network once, their
 segments as two numbers each. Verdicts on lines are broadcast if measured small, else joined.
@@ -24,6 +24,9 @@ LEAST_CHARS = 30
 EDITS = 2
 #: Segment keys and line numbers keep so many bits of a hash; what they bring together is verified.
 KEY_BITS = 48
+#: Sets of letters that are counted in each line. An edit changes their counts by two at most, so lines
+#: whose counts differ by more than twice the edits are not near.
+LETTERS = ("aep", "tnm", "oiu", "shr")
 
 
 def _short(column: Column) -> Column:
@@ -74,6 +77,23 @@ def probe_keys(line: Column, length: Column, edits: int) -> list[Column]:
     return keys
 
 
+def letter_counts(line: Column) -> Column:
+    """The counts of LETTERS, 16 bits each; beyond that they stay at the most."""
+    packed = F.lit(0).cast("long")
+    for letters in LETTERS:
+        times = F.length(line) - F.length(F.translate(line, letters, ""))
+        packed = F.shiftleft(packed, 16).bitwiseOR(F.least(times, F.lit(65535)).cast("long"))
+    return packed
+
+
+def letters_apart(x: str, y: str) -> Column:
+    apart = F.lit(0).cast("long")
+    for i in range(len(LETTERS)):
+        one, other = (F.shiftrightunsigned(c, 16 * i).bitwiseAND(F.lit(65535)) for c in (x, y))
+        apart = apart + F.abs(one - other)
+    return apart
+
+
 def _lines(documents: DataFrame, least_chars: int) -> DataFrame:
     """_doc, _th (hash of the text), _at, _line of the lines that count."""
     return (
@@ -85,14 +105,19 @@ def _lines(documents: DataFrame, least_chars: int) -> DataFrame:
 def near_pairs(lines: DataFrame, edits: int) -> DataFrame:
     """Candidates (_a, _b): short hashes of distinct lines that share a segment."""
     distinct = lines.select("_line").distinct().select(
-        "_line", F.length("_line").alias("_n"), _short(F.xxhash64("_line")).alias("_id")
+        "_line",
+        F.length("_line").alias("_n"),
+        _short(F.xxhash64("_line")).alias("_id"),
+        letter_counts(F.col("_line")).alias("_c"),
     )
     line, n = F.col("_line"), F.col("_n")
-    indexed = distinct.select(F.explode(F.array(*segment_keys(line, n, edits))).alias("_key"), F.col("_id").alias("_a"))
+    indexed = distinct.select(F.explode(F.array(*segment_keys(line, n, edits))).alias("_key"), F.col("_id").alias("_a"), F.col("_c").alias("_ca"))
     probing = distinct.select(
-        F.explode(F.array_distinct(F.array(*probe_keys(line, n, edits)))).alias("_key"), F.col("_id").alias("_b")
+        F.explode(F.array_distinct(F.array(*probe_keys(line, n, edits)))).alias("_key"), F.col("_id").alias("_b"), F.col("_c").alias("_cb")
+    )
+    met = indexed.join(probing, "_key").where(
+        (F.col("_a") != F.col("_b")) & (letters_apart("_ca", "_cb") <= 2 * edits)
     )
-    met = indexed.join(probing, "_key").where("_a <> _b")
     return met.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
 
 
