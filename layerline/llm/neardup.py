@@ -14,8 +14,9 @@ Groups of copies do not become all pairs:
 
 - Documents with equal sets are one representative from the start.
 - In each bucket the members are first tried against one hub; then, where they are not connected
-  yet, against other hubs, as long as that finds links. Then all pairs of different components that
-  still share a bucket are tried one by one, so no link between components is lost.
+  yet, against other hubs, as long as that finds links. Then the documents of
+  buckets with several components are tried against those of other components, all of them but the
+  pairs that cannot be links because they share none of their rarest shingles (an exact bound).
 - Components are found by spreading the least label along links, with tables written in between.
 
 Buckets are read as sorted runs, one row at a time. Signatures and sets move only for candidates.
@@ -49,6 +50,8 @@ FEW_HUBS = 3
 HUB_ROUNDS = 10
 HUBS_A_ROUND = 8
 LEAST_YIELD = 0.05
+#: Cells in which shingles of the remaining documents are counted.
+RARE_BITS = 20
 WORD_CACHE = 300_000
 SHINGLES_AT_ONCE = 256
 
@@ -279,6 +282,69 @@ def _confirmed(pairs: DataFrame, signs: DataFrame, sets: DataFrame, radius: int,
     return joined(close, sets, ["shingles"]).mapInArrow(enough, "a long, b long")
 
 
+def _rare_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels that share one of their rarest shingles.
+
+    Sets that overlap enough cannot differ in all of the ``n - percent * n / 100 + 1`` first shingles
+    of any common order; in order of frequency, what makes an edited copy differ comes first, and
+    copies too far from a group meet none of it. Frequencies are counted in 2 ** RARE_BITS cells.
+    """
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        cells = np.zeros(1 << RARE_BITS, np.int64)
+        for batch in batches:
+            for body in batch.column(0):
+                own = np.frombuffer(body.as_buffer(), "<u8") >> np.uint64(64 - RARE_BITS)
+                np.add.at(cells, own.astype(np.int64), 1)
+        found = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(cells[found])], ["cell", "n"])
+
+    counted = rows.select("shingles").mapInArrow(tally, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    found = counted.toArrow()  # at most 2 ** RARE_BITS rows
+    import numpy as np
+
+    cells = np.zeros(1 << RARE_BITS, np.int64)
+    cells[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(cells)
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = shared.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 200):
+                batch = whole.slice(at, 200)
+                firsts = []
+                for body in batch.column(4):
+                    own = np.frombuffer(body.as_buffer(), "<u8")
+                    n = len(own)
+                    first = n - -(-percent * n // 100) + 1
+                    order = np.lexsort((own, times[(own >> np.uint64(64 - RARE_BITS)).astype(np.int64)]))
+                    firsts.append(own[order[:first]].view(np.int64))
+                repeats = np.repeat(np.arange(len(firsts)), [len(f) for f in firsts])
+                kept = [batch.column(i).take(pa.array(repeats)) for i in range(4)]
+                sizes = np.array([len(b.as_buffer()) // 8 for b in batch.column(4)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(firsts)), *kept, pa.array(sizes[repeats])],
+                    ["shingle", "rid", "d1", "d2", "label", "n"],
+                )
+
+    listed = rows.select("rid", "d1", "d2", "label", "shingles").mapInArrow(
+        rarest, "shingle long, rid long, d1 long, d2 long, label long, n long"
+    )
+    # Shingles of one label only need no partner.
+    mixed = listed.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
+    listed = materialize(listed.join(mixed.select("shingle"), "shingle"), "rarest")
+    sides = [
+        listed.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("rid", "d1", "d2", "label", "n")])
+        for side in ("a", "b")
+    ]
+    apart = (F.col("rid_a") < F.col("rid_b")) & (F.col("label_a") != F.col("label_b"))
+    sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    met = sides[0].join(sides[1], "shingle").where(apart & sized & _alike("d1_a", "d2_a", "d1_b", "d2_b"))
+    return met.select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """rid, label of all nodes of the links (a, b): the label is the least node that is connected.
 
@@ -380,14 +446,9 @@ def near_duplicates(
         members = open_rows.drop("label")
         last = number == HUB_ROUNDS or linked < LEAST_YIELD * pairs.count()
         if last:
-            # All pairs of different components that share a bucket.
-            sides = [
-                open_rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("rid", "d1", "d2", "label")])
-                for side in ("a", "b")
-            ]
-            apart = (F.col("rid_a") < F.col("rid_b")) & (F.col("label_a") != F.col("label_b"))
-            shared = sides[0].join(sides[1], "key").where(apart & _alike("d1_a", "d2_a", "d1_b", "d2_b"))
-            pairs = shared.select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")).distinct()
+            # All pairs of different components that share a bucket, unless their sets rule them out.
+            open_sets = open_rows.select("rid", "d1", "d2", "label").distinct().join(sets, "rid")
+            pairs = _rare_pairs(materialize(open_sets, "open-sets"), percent)
         elif number < FEW_HUBS:
             pairs = _pairs(_runs(open_rows, "label", F.xxhash64("rid", F.lit(number))))
         else:
