@@ -94,3 +94,19 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+SQL["op10_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON b.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
