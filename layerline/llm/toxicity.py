@@ -108,6 +108,9 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
     silent[document_of] = False
     leak = min(0.5, (labels[silent].sum() + 0.5) / (silent.sum() + 1))
 
+    if not len(features):
+        return Model(np.zeros(size, np.float32), 0.0, float(leak))
+
     weights = np.zeros(len(features) + 1)
     weights[-1] = -4.0  # the bias
     first, second = np.zeros_like(weights), np.zeros_like(weights)
@@ -263,7 +266,8 @@ def toxic_documents(
 ) -> DataFrame:
     """doc_id, held_out, score, predicted (0 or 1) of every document, learnt from its labels.
 
-    Without usable labels every score is 0. A null doc_id is not held out.
+    Without usable labels every score is 0; where no word tells labels apart, it is the
+    share of toxic documents in the sample, one half at most. A null doc_id is not held out.
     """
     model = fit(training_sample(documents, labels, settings), settings)
     scored = score(documents, model, bits=settings.bits, located=located)
