@@ -38,9 +38,8 @@ class Settings:
     sample_bytes: int = 1 << 20
     bits: int = 19
     #: A feature counts if it is in so many documents of the sample and its share among the toxic
-    #: ones is higher by so many standard errors.
+    #: ones is higher by more standard errors than chance gives among all such features.
     least_documents: int = 3
-    least_errors: float = 5.0
     steps: int = 250
     rate: float = 0.2
     decay: float = 1e-5
@@ -95,9 +94,9 @@ def fit(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model:
     n_toxic, n_clean = (labels > 0).sum(), (labels == 0).sum()
     share = (in_toxic + in_clean) / len(rows)
     error = np.sqrt(share * (1 - share) * (1 / n_toxic + 1 / n_clean)) + 1e-12
-    useful = (in_toxic + in_clean >= settings.least_documents) & (
-        in_toxic / n_toxic - in_clean / n_clean >= settings.least_errors * error
-    )
+    common = in_toxic + in_clean >= settings.least_documents
+    least_errors = np.sqrt(2 * np.log(max(2, common.sum())))
+    useful = common & (in_toxic / n_toxic - in_clean / n_clean >= least_errors * error)
     keep = useful[tokens]
     tokens, sentence_of = tokens[keep], sentence_of[keep]
     features, tokens = np.unique(tokens, return_inverse=True)
