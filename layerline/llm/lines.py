@@ -7,7 +7,8 @@ number) of first occurrences; a chain of near lines thus keeps only its first.
 Near lines by segments: of ``edits + 1`` segments of the shorter line, one must occur unchanged in the
 other, not far from its place. So each distinct line is indexed by its segments (number, length
 and hash) and probes, for each length it may match, the substrings at the admissible places. Lines that
-meet and have about the same letters are verified by Spark's ``levenshtein`` with a threshold, which computes the band of the matrix only.
+meet and have about the same letters (an exact bound) are verified by Spark's ``levenshtein`` with a
+threshold, which computes the band of the matrix only.
 
 Equal lines are folded map-side before any shuffle; distinct lines cross the network once, their
 segments as two numbers each. Verdicts on lines are broadcast if measured small, else joined.
@@ -24,9 +25,8 @@ LEAST_CHARS = 30
 EDITS = 2
 #: Segment keys and line numbers keep so many bits of a hash; what they bring together is verified.
 KEY_BITS = 48
-#: Sets of letters that are counted in each line. An edit changes their counts by two at most, so lines
-#: whose counts differ by more than twice the edits are not near.
-LETTERS = ("aep", "tnm", "oiu", "shr")
+#: Sixteen letters that a sketch counts.
+LETTERS = "etaoinshrdlumcbk"
 
 
 def _short(column: Column) -> Column:
@@ -59,39 +59,43 @@ def segment_keys(line: Column, length: Column, edits: int) -> list[Column]:
     return keys
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> list[Column]:
-    """Keys under which a line finds those of its length or up to ``edits`` less.
+def probe_keys(line: Column, length: Column, edits: int, less: Column) -> list[Column]:
+    """Keys under which a line finds those that are shorter by ``less`` (0 to ``edits``); some repeat.
 
-    For segment i the place may differ by what the edits before it and behind it allow.
+    For segment i the place may differ by what the edits before it and behind it allow. The places are
+    functions of ``less``, so that the generated code stays small enough to be compiled.
     """
     keys = []
-    for less in range(edits + 1):
-        short = length - less
-        for i in range(edits + 1):
-            start, size = _segment(short, i, edits + 1)
-            low = max(-i, less - (edits - i))
-            high = min(i, less + (edits - i))
-            for shift in range(low, high + 1):
-                piece = F.substring(line, start + shift + 1, size)
-                keys.append(_segment_key(i, short, piece))
+    short = length - less
+    for i in range(edits + 1):
+        start, size = _segment(short, i, edits + 1)
+        low = F.greatest(F.lit(-i), less - (edits - i))
+        high = F.least(F.lit(i), less + (edits - i))
+        places = max(min(i, n + edits - i) - max(-i, n - edits + i) + 1 for n in range(edits + 1))
+        for place in range(places):
+            piece = F.substring(line, start + F.least(low + place, high) + 1, size)
+            keys.append(_segment_key(i, short, piece))
     return keys
 
 
-def letter_counts(line: Column) -> Column:
-    """The counts of LETTERS, 16 bits each; beyond that they stay at the most."""
-    packed = F.lit(0).cast("long")
-    for letters in LETTERS:
-        times = F.length(line) - F.length(F.translate(line, letters, ""))
-        packed = F.shiftleft(packed, 16).bitwiseOR(F.least(times, F.lit(65535)).cast("long"))
+def sketch(line: Column) -> Column:
+    """How often each of LETTERS occurs, modulo 16, in 64 bits."""
+    packed, left = F.lit(0).cast("long"), line
+    for letter in LETTERS:  # the most frequent ones first, so that later ones are looked for in less
+        rest = F.replace(left, F.lit(letter), F.lit(""))
+        times = F.octet_length(left) - F.octet_length(rest)
+        packed, left = F.shiftleft(packed, 4).bitwiseOR(times.cast("long").bitwiseAND(F.lit(15))), rest
     return packed
 
 
-def letters_apart(x: str, y: str) -> Column:
+def may_be_near(x: str, y: str, edits: int) -> Column:
+    """Whether the counts allow so few edits, each of which changes them by two at most: true of near lines."""
     apart = F.lit(0).cast("long")
     for i in range(len(LETTERS)):
-        one, other = (F.shiftrightunsigned(c, 16 * i).bitwiseAND(F.lit(65535)) for c in (x, y))
-        apart = apart + F.abs(one - other)
-    return apart
+        one, other = (F.shiftrightunsigned(c, 4 * i).bitwiseAND(F.lit(15)) for c in (x, y))
+        by = F.abs(one - other)
+        apart = apart + F.least(by, 16 - by)
+    return apart <= 2 * edits
 
 
 def _lines(documents: DataFrame, least_chars: int) -> DataFrame:
@@ -103,20 +107,23 @@ def _lines(documents: DataFrame, least_chars: int) -> DataFrame:
 
 
 def near_pairs(lines: DataFrame, edits: int) -> DataFrame:
-    """Candidates (_a, _b): short hashes of distinct lines that share a segment."""
-    distinct = lines.select("_line").distinct().select(
-        "_line",
-        F.length("_line").alias("_n"),
-        _short(F.xxhash64("_line")).alias("_id"),
-        letter_counts(F.col("_line")).alias("_c"),
+    """Candidates (_a, _b): short hashes of distinct lines that share a segment and may be near."""
+    # Sketches are made before the shuffle, which both sides read.
+    distinct = lines.select("_line", sketch(F.col("_line")).alias("_w")).distinct().select(
+        "_line", "_w", F.length("_line").alias("_n"), _short(F.xxhash64("_line")).alias("_id")
     )
     line, n = F.col("_line"), F.col("_n")
-    indexed = distinct.select(F.explode(F.array(*segment_keys(line, n, edits))).alias("_key"), F.col("_id").alias("_a"), F.col("_c").alias("_ca"))
-    probing = distinct.select(
-        F.explode(F.array_distinct(F.array(*probe_keys(line, n, edits)))).alias("_key"), F.col("_id").alias("_b"), F.col("_c").alias("_cb")
+    indexed = distinct.select(
+        F.explode(F.array(*segment_keys(line, n, edits))).alias("_key"), F.col("_id").alias("_a"), F.col("_w").alias("_wa")
+    )
+    lengths = distinct.select("*", F.explode(F.array(*map(F.lit, range(edits + 1)))).alias("_less"))
+    probing = lengths.select(
+        F.explode(F.array_distinct(F.array(*probe_keys(line, n, edits, F.col("_less"))))).alias("_key"),
+        F.col("_id").alias("_b"),
+        F.col("_w").alias("_wb"),
     )
     met = indexed.join(probing, "_key").where(
-        (F.col("_a") != F.col("_b")) & (letters_apart("_ca", "_cb") <= 2 * edits)
+        (F.col("_a") != F.col("_b")) & may_be_near("_wa", "_wb", edits)
     )
     return met.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
 

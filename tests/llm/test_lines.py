@@ -130,3 +130,23 @@ def test_query_on_whole_table(spark, folder):
         expected = [line for line in (text or "").split("\n") if len(line) < 30 or line not in seen]
         seen.update(line for line in (text or "").split("\n") if len(line) >= 30)
         assert set(kept) <= {*expected, ""}
+
+
+def test_sketches_never_part_near_lines(spark):
+    rnd = random.Random(5)
+    alphabet = "etaoin shr dz9-ÄÖ語"
+    pairs = []
+    for _ in range(400):
+        one = "".join(rnd.choices(alphabet, k=rnd.randint(30, 90)))
+        other = list(one)
+        for _ in range(2):
+            at, kind = rnd.randrange(len(other)), rnd.randrange(3)
+            other[at : at + (kind != 1)] = [] if kind == 0 else [rnd.choice(alphabet)]
+        pairs.append((one, "".join(other)))
+    frame = spark.createDataFrame(pairs, "x string, y string")
+    sketched = frame.select(lines.sketch(F.col("x")).alias("a"), lines.sketch(F.col("y")).alias("b"))
+    assert sketched.where(~lines.may_be_near("a", "b", 2)).isEmpty()
+    far = spark.createDataFrame([("e" * 40, "t" * 40)], "x string, y string")
+    assert far.select(lines.sketch(F.col("x")).alias("a"), lines.sketch(F.col("y")).alias("b")).where(
+        lines.may_be_near("a", "b", 2)
+    ).isEmpty()
