@@ -60,7 +60,7 @@ def segment_keys(line: Column, length: Column, edits: int) -> list[Column]:
 
 
 def probe_keys(line: Column, length: Column, edits: int, less: Column) -> list[Column]:
-    """Keys under which a line finds those that are shorter by ``less`` (0 to ``edits``); some repeat.
+    """Keys under which a line finds those that are shorter by ``less`` (0 to ``edits``), and nulls.
 
     For segment i the place may differ by what the edits before it and behind it allow. The places are
     functions of ``less``, so that the generated code stays small enough to be compiled.
@@ -73,8 +73,8 @@ def probe_keys(line: Column, length: Column, edits: int, less: Column) -> list[C
         high = F.least(F.lit(i), less + (edits - i))
         places = max(min(i, n + edits - i) - max(-i, n - edits + i) + 1 for n in range(edits + 1))
         for place in range(places):
-            piece = F.substring(line, start + F.least(low + place, high) + 1, size)
-            keys.append(_segment_key(i, short, piece))
+            piece = F.substring(line, start + low + place + 1, size)
+            keys.append(F.when(low + place <= high, _segment_key(i, short, piece)))
     return keys
 
 
@@ -118,10 +118,10 @@ def near_pairs(lines: DataFrame, edits: int) -> DataFrame:
     )
     lengths = distinct.select("*", F.explode(F.array(*map(F.lit, range(edits + 1)))).alias("_less"))
     probing = lengths.select(
-        F.explode(F.array_distinct(F.array(*probe_keys(line, n, edits, F.col("_less"))))).alias("_key"),
+        F.explode(F.array(*probe_keys(line, n, edits, F.col("_less")))).alias("_key"),
         F.col("_id").alias("_b"),
         F.col("_w").alias("_wb"),
-    )
+    ).where("_key is not null")
     met = indexed.join(probing, "_key").where(
         (F.col("_a") != F.col("_b")) & may_be_near("_wa", "_wb", edits)
     )
