@@ -1,8 +1,9 @@
 """Line deduplication over the whole corpus: equal lines, and lines a few edits apart.
 
-A line of at least ``least_chars`` characters is dropped if it repeats an earlier one, or if an
-earlier line is within ``edits`` edits of it. Earlier means the smaller (doc_id, text hash, line
-number) of first occurrences; a chain of near lines thus keeps only its first.
+A line with a word in it is dropped if it repeats an earlier one, whatever its length; a line of at
+least ``2 * edits + 2`` characters also if an earlier such line is within ``edits`` edits of it: shorter
+ones cannot be cut into segments. Earlier means the smaller (doc_id, text hash, line number) of first
+occurrences; a chain of near lines thus keeps only its first.
 
 Near lines by segments: of ``edits + 1`` segments of the shorter line, one must occur unchanged in the
 other, not far from its place. So each distinct line is indexed by its segments (number, length
@@ -19,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerline.llm.common import WORD
 from layerline.operators.scale import fits_broadcast, materialize
 
-LEAST_CHARS = 30
 EDITS = 2
 #: Segment keys and line numbers keep so many bits of a hash; what they bring together is verified.
 KEY_BITS = 48
@@ -98,11 +99,14 @@ def may_be_near(x: str, y: str, edits: int) -> Column:
     return apart <= 2 * edits
 
 
-def _lines(documents: DataFrame, least_chars: int) -> DataFrame:
-    """_doc, _th (hash of the text), _at, _line of the lines that count."""
+def _lines(documents: DataFrame, least_chars: int, words: bool) -> DataFrame:
+    """_doc, _th (hash of the text), _at, _line of the lines that count; with ``words``, shorter ones that have one."""
+    counts = F.length("_line") >= least_chars
+    if words:
+        counts = counts | F.regexp_like("_line", F.lit(WORD))
     return (
         documents.select("_doc", "_th", F.posexplode(F.split("_text", "\n")).alias("_at", "_line"))
-        .where(F.length("_line") >= least_chars)
+        .where(counts)
     )
 
 
@@ -139,21 +143,26 @@ def deduplicate(
     *,
     key: str = "doc_id",
     text: str = "text",
-    least_chars: int = LEAST_CHARS,
+    least_chars: int | None = None,
     edits: int = EDITS,
 ) -> DataFrame:
     """The documents with a new text, and n_lines, n_dropped (long).
 
     All other columns stay. A null text stays null and has no lines; an empty one has one empty
-    line. Lines below ``least_chars`` stay always. Rows with the same key and text count as one
+    line. Without ``least_chars``, equal lines go at any length if they have a word, near ones from
+    ``2 * edits + 2`` characters on; with it, lines below it stay always. Rows with the same key and text count as one
     document: they keep the same lines. A null key comes first in the order. No row is dropped, a
     document whose lines all go has an empty text. An empty table gives no rows.
     """
+    words = least_chars is None
+    if least_chars is None:
+        least_chars = 2 * edits + 2
     if least_chars < 2 * edits + 2:
         raise ValueError("lines must be long enough to be cut into segments")
     names = documents.columns
     rows = documents.withColumns({"_doc": F.col(key), "_th": F.xxhash64(text), "_text": F.col(text)})
-    lines = _lines(rows, least_chars)
+    lines = _lines(rows, least_chars, words)
+    longer = lines.where(F.length("_line") >= least_chars) if words else lines
     place = F.struct("_doc", "_th", "_at")
 
     # Equal lines: only those found more than once, with their first place.
@@ -165,9 +174,9 @@ def deduplicate(
         .select("_h1", "_h2", "_first", F.lit(False).alias("_all"))
     )
     # Near lines: candidates, then their texts and first places, then the exact distance.
-    pairs = materialize(near_pairs(lines, edits), "line-pairs")
+    pairs = materialize(near_pairs(longer, edits), "line-pairs")
     involved = pairs.select(F.col("_a").alias("_id")).union(pairs.select(F.col("_b"))).distinct()
-    known = _within(lines, involved).groupBy("_id", "_line").agg(F.min(place).alias("_first"))
+    known = _within(longer, involved).groupBy("_id", "_line").agg(F.min(place).alias("_first"))
     left = known.select(F.col("_id").alias("_a"), F.col("_line").alias("_x"), F.col("_first").alias("_fx"))
     right = known.select(F.col("_id").alias("_b"), F.col("_line").alias("_y"), F.col("_first").alias("_fy"))
     close = (

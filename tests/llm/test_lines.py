@@ -98,6 +98,42 @@ def test_odd_rows(spark):
     compare(spark, rows)
 
 
+def test_short_lines_go_too(spark):
+    """Without a minimum: equal lines at any length with a word, near ones from six characters on."""
+    boilerplate = "Licensed under CC BY-NC 4.0."
+    rows = [
+        (1, f"{boilerplate}\n}}\n\nabcdef\nabcde\nof"),
+        (2, f"{boilerplate}\n}}\n\n  \nabxdyf\nabcdx\nof\n語"),
+        (3, "Licensed under CC BY-SA 4.0.\n  \nabcde\nxbcdefg\nx語\n語"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in lines.deduplicate(frame).collect()}
+    assert found == {
+        1: (rows[0][1], 6, 0),
+        2: ("\n  \nabcdx\n語", 8, 4),
+        3: ("  \nx語", 6, 4),
+    }
+
+
+def test_short_lines_by_brute_force(spark):
+    """At the least length that segments allow, all pairs."""
+    rng = random.Random(8)
+    rows = [(i, "\n".join("".join(rng.choices("abcdef ", k=rng.randint(0, 11))) for _ in range(4))) for i in range(80)]
+    compare(spark, rows, least=6)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in lines.deduplicate(frame).collect()}
+    fixed = {r.doc_id: r.text for r in lines.deduplicate(frame, least_chars=6).collect()}
+    seen = set()
+    for key, text in sorted(fixed.items()):
+        # of what a minimum of six leaves, equal shorter lines go, and only they
+        left = []
+        for line in text.split("\n"):
+            if len(line) >= 6 or not line.strip(" ") or line not in seen:
+                left.append(line)
+        seen.update(rows[key][1].split("\n"))
+        assert [x for x in found[key].split("\n") if x.strip(" ")] == list(dict.fromkeys(x for x in left if x.strip(" ")))
+
+
 def test_equal_rows_keep_the_same_lines(spark):
     frame = spark.createDataFrame([(1, "a line that is long enough to count")] * 2, "doc_id long, text string")
     assert [r.n_dropped for r in lines.deduplicate(frame).collect()] == [0, 0]
