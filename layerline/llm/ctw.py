@@ -12,13 +12,17 @@ As Spark jobs:
 1. Texts are normalised and written once with a chunk number (at most ``CHUNK_BYTES`` of text).
    Every n-gram of DEPTH + 1 bytes is counted per chunk, training texts with their count,
    the others with 0, as arrays by the two latest context bytes.
-2. Grouped by those two bytes, a context subtree is weighted on its own. What a group holds are
-   distinct n-grams, at most 256 ** (DEPTH - 1) however large the corpus and far fewer in text. The tops of the trees, 257 contexts of 255
-   nodes, are summed on the driver and sent back.
-3. Grouped again, each n-gram of each chunk gets its log probability; each chunk receives the
+2. Grouped by those two bytes, a context subtree is weighted on its own. A part with more than
+   ``GROUP_ENTRIES`` entries over all chunks is divided by the third context byte and folded over
+   ``FOLD_CHUNKS`` chunks at a time until a group has as few arrays of distinct n-grams, at most 256 ** 3 each
+   at depth 5; its nodes of two bytes are summed from those of three. The tops of the trees, 257
+   contexts of 255 nodes and those of the divided parts, are summed on the driver and sent back.
+3. Grouped again, each n-gram of each chunk gets its log probability, those of divided parts from
+   the folded n-grams, ``JOINED`` chunks at a time; each chunk receives the
    entries of its own n-grams only, and its texts are scored with them.
 
-Words are counted the same way, by 64-bit hash in ``BUCKETS`` groups, for the unigram score.
+Words are counted the same way, by 64-bit hash in ``BUCKETS`` groups, for the unigram score; a group
+that is too large is divided by further bits of the hash.
 Nothing that grows with the corpus is broadcast or collected.
 """
 
@@ -38,6 +42,10 @@ from layerline.operators.scale import materialize, scratch_dir
 DEPTH = 5
 CHUNK_BYTES = 40 << 20
 BUCKETS = 512
+#: A part with more entries, over all chunks, is divided; its chunks are folded and joined back so many at a time.
+GROUP_ENTRIES = 1 << 21
+FOLD_CHUNKS = 16
+JOINED = 64
 #: Bytes counted at once, and distinct n-grams or words held before they leave a task.
 COUNT_AT_ONCE = 1 << 21
 HELD = 1 << 21
@@ -187,7 +195,7 @@ def prepare(documents: DataFrame, key: str, text: str, held_out) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-COUNTS = "chunk long, kind int, part long, keys binary, counts binary"
+COUNTS = "chunk long, kind int, part long, n long, keys binary, counts binary"
 
 
 def count(texts: DataFrame, depth: int) -> DataFrame:
@@ -217,10 +225,11 @@ def count(texts: DataFrame, depth: int) -> DataFrame:
                     pa.array([chunk] * len(starts), pa.int64()),
                     pa.array([kind] * len(starts), pa.int32()),
                     pa.array(part[starts], pa.int64()),
+                    pa.array(np.diff([*starts, len(keys)]), pa.int64()),
                     pa.array([x.tobytes() for x in np.split(keys, cuts)], pa.binary()),
                     pa.array([x.astype("<u4").tobytes() for x in np.split(counts, cuts)], pa.binary()),
                 ],
-                ["chunk", "kind", "part", "keys", "counts"],
+                ["chunk", "kind", "part", "n", "keys", "counts"],
             )
 
         held: dict[tuple[int, int], list] = {}  # (chunk, kind): pairs of arrays
@@ -281,23 +290,87 @@ def _restored(data: bytes, kind: int, part: int, depth: int):
     return (short >> 8) << 24 | part << 8 | short & 255
 
 
-def _gathered(frame, depth: int):
+def _gathered(frame, depth: int, counted: str = "<u4"):
     """Distinct keys of a group with their summed counts, and where each row's keys are."""
     import numpy as np
 
     kind, part = int(frame["kind"].iloc[0]), int(frame["part"].iloc[0])
     lists = [_restored(b, kind, part, depth) for b in frame["keys"]]
-    counts = np.concatenate([np.frombuffer(b, "<u4") for b in frame["counts"]])
+    counts = np.concatenate([np.frombuffer(b, counted) for b in frame["counts"]])
     found, place = np.unique(np.concatenate(lists), return_inverse=True)
     edges = np.cumsum([0, *map(len, lists)])
     return found, np.bincount(place, counts, len(found)).astype(np.int64), place, edges
 
 
-def tops(counts: DataFrame, depth: int) -> tuple:
-    """The depths 0 and 1, as arrays by latest byte and node.
+def large_parts(counts: DataFrame, depth: int) -> dict[tuple[int, int], int]:
+    """(kind, part) of more than GROUP_ENTRIES entries, and how many times as many; at most 256 ** 2 + BUCKETS.
+
+    Below three bytes of context a part has 256 n-grams and is not divided.
+    """
+    found = counts.groupBy("kind", "part").agg(F.sum("n").alias("n")).where(F.col("n") > GROUP_ENTRIES).collect()
+    return {(r.kind, r.part): -(-r.n // GROUP_ENTRIES) for r in found if r.kind == TOKEN or depth > 2}
+
+
+DIVIDED = "chunk long, kind int, part long, sub long, keys binary, counts binary"
+
+
+def divided(counts: DataFrame, large: dict[tuple[int, int], int], depth: int) -> DataFrame:
+    """Rows of large parts by third context byte, or by further bits of a word's hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                kind, part = row["kind"], row["part"]
+                keys = _restored(row["keys"], kind, part, depth)
+                times = np.frombuffer(row["counts"], "<u4").astype("<i8")
+                sub = (keys >> 24) & 255 if kind == GRAM else keys // BUCKETS % large[kind, part]
+                order = np.argsort(sub, kind="stable")  # keys stay sorted
+                keys, times, sub = keys[order], times[order], sub[order]
+                cuts = np.flatnonzero(np.diff(sub)) + 1
+                starts = [0, *cuts.tolist()]
+                short = _shortened(keys, kind, depth)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(pa.array([row[n]] * len(starts), t) for n, t in
+                          (("chunk", pa.int64()), ("kind", pa.int32()), ("part", pa.int64()))),
+                        pa.array(sub[starts], pa.int64()),
+                        pa.array([x.tobytes() for x in np.split(short, cuts)], pa.binary()),
+                        pa.array([x.tobytes() for x in np.split(times, cuts)], pa.binary()),
+                    ],
+                    ["chunk", "kind", "part", "sub", "keys", "counts"],
+                )
+
+    return counts.drop("n").mapInArrow(run, DIVIDED)
+
+
+def folded_chunks(rows: DataFrame, chunks: int, depth: int) -> DataFrame:
+    """Divided rows summed over chunks, until at most some FOLD_CHUNKS rows of each part are left."""
+
+    def run(frame):
+        import pandas as pd
+
+        keys, times, _, _ = _gathered(frame, depth, "<i8")
+        first = frame.iloc[0]
+        kept = _shortened(keys, int(first["kind"]), depth).tobytes(), times.astype("<i8").tobytes()
+        names = ["chunk", "kind", "part", "sub"]
+        return pd.DataFrame([(*first[names], *kept)], columns=[*names, "keys", "counts"])
+
+    while chunks > FOLD_CHUNKS:
+        chunks = -(-chunks // FOLD_CHUNKS)
+        dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("chunk"), F.lit(chunks).cast("long")))
+        summed = dealt.groupBy("kind", "part", "sub", "chunk").applyInPandas(run, DIVIDED)
+        rows = materialize(summed, "ctw-folded")
+    return rows
+
+
+def tops(counts: DataFrame, depth: int, large: DataFrame | None = None) -> tuple:
+    """The depths 0 and 1, as arrays by latest byte and node, and depth 2 of divided parts.
 
     What they add to the probability of a one and of a zero, the factor of the deeper probability,
-    and the estimates of depth 1 for a one and a zero.
+    and the estimates of depth 1 for a one and a zero. Then, of each part in ``large`` (folded rows),
+    zeros, ones and the share of its own estimate, by node.
     """
     import numpy as np
 
@@ -323,12 +396,43 @@ def tops(counts: DataFrame, depth: int) -> tuple:
         .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("weighted"))
         .toArrow()  # at most 256 * 255 rows
     )
+
+    def run_large(frame):
+        import pandas as pd
+
+        keys, times, _, _ = _gathered(frame, depth, "<i8")
+        tables = log_gamma_tables()
+        out = []
+        for bit in range(8):
+            _, (nodes, zeros, ones, weighted) = subtree(keys, times, depth, bit, 3, tables)
+            out.append(pd.DataFrame({"node": nodes & 255, "zeros": zeros, "ones": ones, "weighted": weighted}))
+        return pd.concat(out).assign(part=int(frame["part"].iloc[0]))
+
     byte, node = (found.column(n).to_numpy() for n in ("byte", "node"))
     tables = log_gamma_tables()
     zeros, ones = np.zeros((256, 256), np.int64), np.zeros((256, 256), np.int64)
     below = np.zeros((256, 256))
     zeros[byte, node], ones[byte, node] = found.column("zeros").to_numpy(), found.column("ones").to_numpy()
     below[byte, node] = found.column("weighted").to_numpy()
+    second = {}
+    if large is not None:
+        wide = (
+            large.where(F.col("kind") == GRAM).groupBy("part", "sub")
+            .applyInPandas(run_large, "part long, node long, zeros long, ones long, weighted double")
+            .groupBy("part", "node")
+            .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("weighted"))
+            .toArrow()  # 255 rows a divided part at most
+        )
+        part, node, z, o, w = (wide.column(n).to_numpy() for n in ("part", "node", "zeros", "ones", "weighted"))
+        own = estimates(z, o, tables)
+        up = HALF + np.logaddexp(own, w)
+        share = np.exp(np.minimum(0.0, HALF + own - up))
+        for into, values in ((zeros, z), (ones, o), (below, up)):
+            np.add.at(into, (part & 255, node), values)
+        for p in np.unique(part).tolist():
+            at = part == p
+            second[p] = np.zeros((3, 256))
+            second[p][:, node[at]] = z[at], o[at], share[at]
     own = estimates(zeros, ones, tables)
     weighted = HALF + np.logaddexp(own, below)
     share = np.exp(np.minimum(0.0, HALF + own - weighted))
@@ -349,56 +453,78 @@ def tops(counts: DataFrame, depth: int) -> tuple:
         np.where(total > 0, rest, 0.0),
         (ones + 0.5) / (total + 1.0),
         (zeros + 0.5) / (total + 1.0),
+        second,
     )
 
 
-def vocabulary(counts: DataFrame, depth: int) -> tuple[int, int]:
-    """Distinct training tokens and their number."""
+def vocabulary(counts: DataFrame, depth: int, large: DataFrame | None = None) -> tuple[int, int]:
+    """Distinct training tokens and their number, with those of divided parts."""
 
-    def run(frame):
-        import pandas as pd
+    def summed(counted: str):
+        def run(frame):
+            import pandas as pd
+
+            _, times, _, _ = _gathered(frame, depth, counted)
+            return pd.DataFrame({"distinct": [int((times > 0).sum())], "total": [int(times.sum())]})
 
-        _, times, _, _ = _gathered(frame, depth)
-        return pd.DataFrame({"distinct": [int((times > 0).sum())], "total": [int(times.sum())]})
+        return run
 
-    words = counts.where(F.col("kind") == TOKEN).groupBy("part")
-    found = words.applyInPandas(run, "distinct long, total long").agg(F.sum("distinct"), F.sum("total"))
-    distinct, total = found.first()
+    schema = "distinct long, total long"
+    found = counts.where(F.col("kind") == TOKEN).groupBy("part").applyInPandas(summed("<u4"), schema)
+    if large is not None:
+        words = large.where(F.col("kind") == TOKEN).groupBy("part", "sub")
+        found = found.union(words.applyInPandas(summed("<i8"), schema))
+    distinct, total = found.agg(F.sum("distinct"), F.sum("total")).first()
     return int(distinct or 0), int(total or 0)
 
 
 ENTRIES = "chunk long, kind int, part long, keys binary, values binary"
 
 
-def entries(counts: DataFrame, depth: int, top: tuple) -> DataFrame:
-    """For each chunk, the log10 probabilities of its n-grams and the training counts of its words."""
-    shared = counts.sparkSession.sparkContext.broadcast(top)  # five arrays of 256 * 256
+def entries(
+    counts: DataFrame, depth: int, top: tuple, rows: DataFrame | None = None, large: DataFrame | None = None, chunks: int = 0
+) -> DataFrame:
+    """For each chunk, the log10 probabilities of its n-grams and the training counts of its words.
+
+    ``rows`` are the divided parts by chunk, ``large`` the same folded over chunks.
+    """
+    # five arrays of 256 * 256, and 3 * 256 numbers a divided part
+    shared = counts.sparkSession.sparkContext.broadcast(top)
 
-    def log_chances(keys, times):
+    def log_chances(keys, times, part: int):
         import numpy as np
 
-        one_base, zero_base, rest, one_local, zero_local = shared.value
+        one_base, zero_base, rest, one_local, zero_local, second = shared.value
         tables = log_gamma_tables()
         logs = np.zeros(len(keys))
         byte, symbol = (keys >> 8) & 255, keys & 255
+        floor = 3 if part in second else 2
         for bit in range(8):
-            chance, (nodes, zeros, ones, _) = subtree(keys, times, depth, bit, 2, tables)
+            chance, (nodes, zeros, ones, _) = subtree(keys, times, depth, bit, floor, tables)
             node = (1 << bit) | (symbol >> (8 - bit))
             one = ((symbol >> (7 - bit)) & 1) == 1
-            place = np.searchsorted(nodes, (keys >> 8 & 0xFFFF) << 8 | node)
+            place = np.searchsorted(nodes, (keys >> 8 & (1 << 8 * floor) - 1) << 8 | node)
             known = (zeros + ones)[place] > 0
+            if floor == 3:
+                z, o, share = (x[node] for x in second[part])
+                own = (np.where(one, o, z) + 0.5) / (z + o + 1.0)
+                chance = np.where(known, share * own + (1 - share) * chance, own)
+                known = z + o > 0
             base = np.where(one, one_base[byte, node], zero_base[byte, node])
             local = np.where(one, one_local[byte, node], zero_local[byte, node])
             # an unseen context of two bytes passes on the estimate of one byte
             logs += np.log10(base + rest[byte, node] * np.where(known, chance, local))
         return logs
 
+    def valued(keys, times, frame):
+        kind, part = int(frame["kind"].iloc[0]), int(frame["part"].iloc[0])
+        return log_chances(keys, times, part).astype("<f4") if kind == GRAM else times.astype("<i8")
+
     def run(frame):
         import pandas as pd
 
         keys, times, place, edges = _gathered(frame, depth)
-        kind = int(frame["kind"].iloc[0])
-        values = log_chances(keys, times).astype("<f4") if kind == GRAM else times.astype("<i8")
+        values = valued(keys, times, frame)
         return pd.DataFrame(
             {
                 "chunk": frame["chunk"],
@@ -409,7 +535,38 @@ def entries(counts: DataFrame, depth: int, top: tuple) -> DataFrame:
             }
         )
 
-    return counts.groupBy("kind", "part").applyInPandas(run, ENTRIES)
+    found = counts.groupBy("kind", "part").applyInPandas(run, ENTRIES)
+    if large is None:
+        return found
+
+    def run_large(frame):
+        import pandas as pd
+
+        keys, times, _, _ = _gathered(frame, depth, "<i8")
+        first = frame.iloc[0]
+        kept = _shortened(keys, int(first["kind"]), depth).tobytes(), valued(keys, times, frame).tobytes()
+        names = ["kind", "part", "sub"]
+        return pd.DataFrame([(*first[names], *kept)], columns=[*names, "keys", "values"])
+
+    def looked_up(mine, model):
+        import numpy as np
+
+        mine = mine[["chunk", "kind", "part", "keys"]]
+        if not len(mine):
+            return mine.assign(values=[])
+        kind, part = int(mine["kind"].iloc[0]), int(mine["part"].iloc[0])
+        keys = _restored(model["keys"].iloc[0], kind, part, depth)
+        values = np.frombuffer(model["values"].iloc[0], "<f4" if kind == GRAM else "<i8")
+        lists = (_restored(b, kind, part, depth) for b in mine["keys"])
+        return mine.assign(values=[values[np.searchsorted(keys, x)].tobytes() for x in lists])
+
+    schema = "kind int, part long, sub long, keys binary, values binary"
+    model = materialize(large.groupBy("kind", "part", "sub").applyInPandas(run_large, schema), "ctw-large")
+    groups = max(1, -(-chunks // JOINED))
+    mine = rows.drop("counts").withColumn("_g", F.pmod(F.xxhash64("chunk"), F.lit(groups).cast("long")))
+    model = model.withColumn("_g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    by = ["kind", "part", "sub", "_g"]
+    return found.union(mine.groupBy(*by).cogroup(model.groupBy(*by)).applyInPandas(looked_up, ENTRIES))
 
 
 def score(
@@ -431,8 +588,20 @@ def score(
     held_out = F.coalesce(remainder(F.col(key), 10) == 0, F.lit(False))
     texts = prepare(documents, key, text, held_out)
     counts = materialize(count(texts, depth), "ctw-counts")
-    distinct, total = vocabulary(counts, depth)
-    model = entries(counts, depth, tops(counts, depth))
+    sizes = large_parts(counts, depth)
+    rows = large = None
+    chunks = 0
+    if sizes:
+        spark = documents.sparkSession
+        # (kind, part) of at most 256 ** 2 + BUCKETS parts
+        listed = F.broadcast(spark.createDataFrame(list(sizes), "kind int, part long"))
+        by = ["kind", "part"]
+        rows = materialize(divided(counts.join(listed, by, "left_semi").select(counts.columns), sizes, depth), "ctw-divided")
+        counts = counts.join(listed, by, "left_anti").select(counts.columns)
+        chunks = texts.select("chunk").distinct().count()
+        large = folded_chunks(rows, chunks, depth)
+    distinct, total = vocabulary(counts, depth, large)
+    model = entries(counts, depth, tops(counts, depth, large), rows, large, chunks)
     kind = texts.schema["key"].dataType.simpleString()
     schema = (
         f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "

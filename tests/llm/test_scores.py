@@ -123,6 +123,29 @@ def test_small_chunks_give_the_same(spark, monkeypatch):
     close([tuple(r)[:7] for r in ctw.score(frame, depth=2).collect()], expected(rows, 2))
 
 
+def test_groups_do_not_grow_with_the_chunks(spark, monkeypatch):
+    """Large parts are divided and folded: no group gathers more than a few chunks."""
+    monkeypatch.setattr(ctw, "CHUNK_BYTES", 40)
+    for name, value in (("GROUP_ENTRIES", 12), ("FOLD_CHUNKS", 3), ("JOINED", 4)):
+        monkeypatch.setattr(ctw, name, value)
+    most, folds = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    gathered = ctw._gathered
+
+    def watched(frame, depth, counted="<u4"):
+        keys = gathered(frame, depth, counted)
+        small = sum(len(b) for b in frame["counts"]) <= 4 * 12
+        if counted == "<u4" and not small or len(frame) > 12:
+            most.add(1)
+        folds.add(counted == "<i8")
+        return keys
+
+    monkeypatch.setattr(ctw, "_gathered", watched)
+    rows = [(i, f"some text of row {i % 7} " * (i % 4)) for i in range(40)] + [(None, "unseen Zq"), (3, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    close([tuple(r)[:7] for r in ctw.score(frame.repartition(2), depth=3).collect()], expected(rows, 3))
+    assert most.value == 0 and folds.value > 0
+
+
 def test_lm_empty(spark):
     assert ctw.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
