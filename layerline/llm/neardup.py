@@ -386,13 +386,14 @@ def near_duplicates(
     symbols: int = SYMBOLS,
     chunks: int = CHUNKS,
 ) -> DataFrame:
-    """key, n_shingles, component_id, kept, and text_hash of each row.
+    """key, n_shingles, component_id, kept, text_hash and first of each row.
 
     ``component_id`` is the least key that links reach, the row's own if none; ``kept`` says that it is the
     row's own. A text without words (null or empty) is linked with nothing. Equal rows and rows
     with the same words are linked; rows that repeat a key are judged one by one and share that key
     as an id. A null key never is the least one and its row is not kept, unless nothing is known
-    to be linked with it, where its component is null. An empty table gives no rows.
+    to be linked with it, where its component is null. ``first`` says that the row has the least (key,
+    text hash) of what links reach, null keys last; equal rows share it. An empty table gives no rows.
     Other columns are ignored.
     """
     radius = 2 * chunks - 1
@@ -455,11 +456,11 @@ def near_duplicates(
             pairs = _pairs(_runs(open_rows, "label", F.xxhash64("rid", "key", F.lit(number))), HUBS_A_ROUND)
 
     named = copies.join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-    least = named.groupBy("label").agg(F.min("home.k").alias("component"))
+    least = named.groupBy("label").agg(F.min("home").alias("least"))
     # Only sets with company are looked up; the others are their own component.
     grouped = named.join(least, "label").where(
-        (F.col("times") > 1) | ~F.col("component").eqNullSafe(F.col("home.k"))
-    ).select("rid", "component")
+        (F.col("times") > 1) | ~F.col("least").eqNullSafe(F.col("home"))
+    ).select("rid", F.col("least.k").alias("component"), F.col("least.t").alias("_least"))
     grouped = materialize(grouped, "components")
     small = F.broadcast(grouped) if fits_broadcast(grouped, rows=1_000_000) else grouped
     return (
@@ -471,5 +472,9 @@ def near_duplicates(
             "component_id",
             F.col("component_id").eqNullSafe(F.col("_key")).alias("kept"),
             F.col("_th").alias("text_hash"),
+            (
+                F.col("_known").isNull()
+                | F.col("component").eqNullSafe(F.col("_key")) & (F.col("_least") == F.col("_th"))
+            ).alias("first"),
         )
     )

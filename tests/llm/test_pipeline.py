@@ -84,3 +84,22 @@ def test_registered(spark, folder, stages):
     assert contract.queries()["pipeline"] is corpus_pipeline.run
     total = lambda frame: frame.agg({"length": "sum"}).first()[0]
     assert total(corpus_pipeline.run(spark, folder)) == total(stages[5])
+
+
+def test_one_row_of_each_group_of_repeated_and_null_keys(spark, folder):
+    text = " ".join(f"word{i}" for i in range(60))
+    edited, other = text + " end", " ".join(f"else{i}" for i in range(60))
+    rows = [(1, text), (1, text), (1, edited), (2, text), (None, text)]  # one group
+    rows += [(None, other), (None, other), (None, other + " end")]  # another, without any key
+    rows += [(3, "alone in here with its six words"), (3, "something else under the same old key")]
+    rows += [(None, ""), (None, ""), (5, ""), (5, ""), (6, None)]
+    schema = "doc_id long, text string, n_chars long"
+    frame = spark.createDataFrame([(k, t, 0) for k, t in rows], schema).repartition(3)
+    left = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, frame, folder).collect()), key=repr)
+    first = [r for r in left if r[1] in (text, edited)]
+    assert len(first) == 1 and first[0][0] == 1
+    second = [r for r in left if r[1] in (other, other + " end")]
+    assert len(second) == 1
+    assert [r for r in left if r not in first + second] == sorted(
+        [rows[8], rows[9], (None, ""), (None, ""), (5, ""), (6, None)], key=repr
+    )
