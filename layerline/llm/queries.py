@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerline.llm import bpe, ctw, licenses, lines, neardup, packing, quality, topk, toxicity, urls
+from layerline.llm import bpe, ctw, licenses, lines, neardup, packing, quality, tokenfiles, topk, toxicity, urls
 from layerline.llm.common import table
+from layerline.operators.scale import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,3 +111,9 @@ ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
     vec_id, score FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@query
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = scratch_dir(spark, "token-files")
+    return tokenfiles.digests(table(spark, folder, "documents"), files, tokenizer_path("byte_bpe_50k.json"))
