@@ -1,0 +1,128 @@
+"""Collocations against plain counting, with limits low enough that every path runs."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from layerline.llm import phrases
+
+
+def brute(rows, least, limit, longest=4):
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for size in range(1, longest + 1):
+                counts["und" if lang is None else lang].update(
+                    tuple(words[i : i + size]) for i in range(len(words) - size + 1)
+                )
+    found = []
+    for lang, own in counts.items():
+        total = sum(f for p, f in own.items() if len(p) == 1)
+        candidates = {p: f for p, f in own.items() if len(p) > 1 and f >= least}
+        covered = set()
+        for p, f in candidates.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    if 100 * f >= 80 * candidates[p[i : i + size]]:
+                        covered.add(p[i : i + size])
+        rows = []
+        for p, a in candidates.items():
+            if p not in covered:
+                score, k = min((2_000_000 * a // (own[p[:k]] + own[p[k:]]), k) for k in range(1, len(p)))
+                rows.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(rows)[:limit], 1):
+            found.append((lang, rank, phrase.decode(), -a, l, r, total, -score))
+    return sorted(found)
+
+
+def texts(seed, count):
+    random.seed(seed)
+    words = ["alpha", "Beta", "gamma", "été", "漢字", "x-y", "a\x1cb", "New", "York", "of", "the"] + [f"w{i}" for i in range(30)]
+    fixed = ["New York City hall", "of the", "one two three four five", "run run run run run run"]
+    rows = []
+    for i in range(count):
+        parts = []
+        for _ in range(random.choice((0, 1, 5, 40))):
+            parts.append(random.choice(fixed) if random.random() < 0.2 else random.choice(words))
+            parts.append(random.choice([" ", " ", " ", " ", "\t", "  ", ", ", ". ", "\n", "\r\n", "!? "]))
+        rows.append((random.choice(["en", "fr", None, "und", ""]), "".join(parts)))
+    return rows
+
+
+LIMITS = [
+    {},
+    {"BLOCK_TOKENS": 60, "GATHERED": 50, "WORDS_HELD": 20},
+    {"TRIE_PHRASES": 7, "DICTIONARY_WORDS": 11, "BLOCK_TOKENS": 100, "ROWS_OUT": 9},
+]
+
+
+@pytest.mark.parametrize("limits", LIMITS)
+def test_equals_plain_counting(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(phrases, name, value)
+    rows = texts(1, 150)
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    found = phrases.collocations(frame, least=4, limit=25)
+    assert sorted(map(tuple, found.collect())) == brute(rows, 4, 25)
+
+
+def test_shorter_phrases(spark):
+    rows = texts(2, 100)
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    for longest in (2, 3):
+        found = phrases.collocations(frame, least=3, limit=1_000, longest=longest)
+        assert sorted(map(tuple, found.collect())) == brute(rows, 3, 1_000, longest)
+    with pytest.raises(ValueError):
+        phrases.collocations(frame, longest=5)
+
+
+def test_nulls_copies_long_texts_and_other_columns(spark):
+    rows = [("en", None), ("en", ""), (None, "a b " * 40), ("en", "a b. " * 10)] + [("en", "same words here")] * 40
+    rows.append(("de", "sehr lang " * 50_000))
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], "lang string, text string, phrase string, rank int")
+    assert sorted(map(tuple, phrases.collocations(frame).collect())) == brute(rows, 30, 2_000)
+    assert phrases.collocations(frame.limit(0)).isEmpty()
+    rare = phrases.collocations(frame.where("lang = 'none'"))
+    assert rare.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and rare.isEmpty()
+
+
+def test_another_seed_where_words_share_a_hash(spark, monkeypatch):
+    import xxhash
+
+    plain = xxhash.xxh64_intdigest
+
+    class Colliding(phrases._Words):
+        def __missing__(self, word):
+            number = super().__missing__(word)
+            if self._seed == 0:
+                self.codes[-1] = 77
+            return number
+
+    monkeypatch.setattr(phrases, "_Words", Colliding)
+    rows = texts(4, 60)
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    assert sorted(map(tuple, phrases.collocations(frame, least=3, limit=50).collect())) == brute(rows, 3, 50)
+    assert plain is xxhash.xxh64_intdigest
+
+
+@pytest.mark.parametrize("depth", [2, 3, 4])
+def test_trie_finds_what_it_holds(depth):
+    rng = np.random.default_rng(depth)
+    held = np.unique(rng.integers(1, 40, (600, depth)), axis=0)
+    trie = phrases.build_trie(held.astype(np.int32), 40)
+    text = rng.integers(0, 41, 5_000).astype(np.int32)
+    places, found = trie.walk(text)
+    wanted = {tuple(p): i for i, p in enumerate(trie.phrases.tolist())}
+    expected = [
+        (i, wanted[tuple(text[i : i + depth].tolist())])
+        for i in range(len(text) - depth + 1)
+        if tuple(text[i : i + depth].tolist()) in wanted
+    ]
+    assert list(zip(places.tolist(), found.tolist())) == expected
