@@ -10,8 +10,11 @@ A vector's dimensions are dealt into ``parts`` lists; its score is the sum of it
 3. Their scores are completed exactly where they lie; those of at least T leave the task, and the
    k best of them are the result.
 
-Queries are read in blocks of at most ``BLOCK_BYTES``; each block is broadcast and meets all candidates.
-Scores are integers: matrix products run in float64 while every sum is below 2**53, else in int64.
+Queries are written once and read in blocks of at most ``BLOCK_BYTES``; each block is broadcast, meets all
+candidates, and its result is written before the next. Scores are integers: matrix products run in float64
+while every sum is below 2**53, else in int64. Vectors with components so large that a sum might pass
+2**62 are multiplied with Python's integers, a slower path for rare rows; their full scores take the place
+of the lists. A score that no long holds is refused.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerline.operators.scale import materialize
+
 K = 5
 PARTS = 4
 SCALE = 256
@@ -35,17 +40,18 @@ QUERIES_AT_ONCE = 1024
 def quantised(vectors: DataFrame, *, key: str, vector: str, scale: int = SCALE) -> DataFrame:
     """id, v (array of long): floor(scale * x), x as double.
 
-    Left out: null keys, null or empty vectors, vectors with a null or non-finite component, or
-    with one beyond 2**31 after scaling.
+    Left out: null keys, null or empty vectors, vectors with a null or non-finite component. A component
+    that no long holds after scaling is an error.
     """
     doubles = F.transform(F.col(vector), lambda x: x.cast("double"))
     rows = vectors.select(F.col(key).alias("id"), doubles.alias("x")).where(
         F.col("id").isNotNull() & (F.size("x") > 0)
     )
-    fine = F.forall("x", lambda x: F.coalesce(F.abs(x) < 2.0**31 / scale, F.lit(False)))
-    return rows.where(fine).select(
-        "id", F.transform("x", lambda x: F.floor(x * scale).cast("long")).alias("v")
-    )
+    fine = F.forall("x", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    held = F.forall("x", lambda x: F.abs(x * scale) < 2.0**63)
+    refused = F.raise_error(F.lit("a component of a vector does not fit a long")).cast("array<bigint>")
+    whole = F.transform("x", lambda x: F.floor(x * scale).cast("long"))
+    return rows.where(fine).select("id", F.when(held, whole).otherwise(refused).alias("v"))
 
 
 def _matrix(column: pa.Array, width: int):
@@ -63,7 +69,7 @@ def _matrix(column: pa.Array, width: int):
 
 
 def _partials(queries, rows, parts: int):
-    """(parts, queries, rows) exact integer partial scores."""
+    """(parts, queries, rows) exact integer partial scores, all below 2**62."""
     import numpy as np
 
     width = queries.shape[1]
@@ -76,6 +82,55 @@ def _partials(queries, rows, parts: int):
     )
 
 
+def _large(vectors):
+    """Which vectors have a component whose products might add up to 2**62."""
+    import math
+
+    limit = math.isqrt((1 << 62) // max(1, vectors.shape[1]))
+    # not by abs(), which has no value for the least long
+    return ((vectors >= limit) | (vectors <= -limit)).any(axis=1)
+
+
+def _entries(ids, queries, names, rows, cuts, k: int, parts: int):
+    """(query ids, row ids, scores) of one phase for vectors that are not large; ``cuts`` None in the first."""
+    import numpy as np
+
+    partial = _partials(queries, rows, parts)
+    total = partial.sum(axis=0)
+    other = ids[:, None] != names[None, :]
+    if cuts is None:
+        wanted = np.zeros_like(other)
+        depth = min(k + 1, len(names))  # one more, as the query may be among them
+        for one in partial:
+            top = np.argpartition(-one, depth - 1, axis=1)[:, :depth]
+            np.put_along_axis(wanted, top, True, axis=1)
+    else:
+        # some list holds at least an equal share of the cutoff
+        share = cuts // parts + (cuts % parts != 0)
+        wanted = (partial >= share[None, :, None]).any(axis=0)
+        wanted &= total >= cuts[:, None]
+    q, v = np.nonzero(wanted & other)
+    return ids[q], names[v], total[q, v]
+
+
+def _exact_entries(ids, queries, names, rows, cuts, k: int):
+    """The same with Python's integers, by full scores."""
+    import heapq
+
+    import numpy as np
+
+    found: list[tuple[int, int, int]] = []
+    texts = [v.tolist() for v in rows]
+    for i, query in enumerate(queries.tolist()):
+        scores = [sum(map(int.__mul__, query, row)) for row in texts]
+        entries = [(s, -n) for s, n in zip(scores, names.tolist()) if n != ids[i]]
+        if any(not -(1 << 63) <= s < 1 << 63 for s, _ in entries):
+            raise OverflowError(f"a score of vector {ids[i]} does not fit a long")
+        chosen = heapq.nlargest(k, entries) if cuts is None else [e for e in entries if e[0] >= cuts[i]]
+        found += [(int(ids[i]), -n, s) for s, n in chosen]
+    return tuple(np.array(c, np.int64) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+
+
 def _over_candidates(candidates: DataFrame, block, cutoffs, k: int, parts: int) -> DataFrame:
     """Entries (query_id, vec_id, score) of one phase; without cutoffs, of the first."""
 
@@ -84,32 +139,29 @@ def _over_candidates(candidates: DataFrame, block, cutoffs, k: int, parts: int)
 
         ids, queries = block.value
         limits = None if cutoffs is None else cutoffs.value
+        large_query = _large(queries)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
                 names = part.column(0).to_numpy(zero_copy_only=False)
                 rows = _matrix(part.column(1), queries.shape[1])
+                large_row = _large(rows)
                 for low in range(0, len(ids), QUERIES_AT_ONCE):
-                    own = ids[low : low + QUERIES_AT_ONCE]
-                    partial = _partials(queries[low : low + QUERIES_AT_ONCE], rows, parts)
-                    total = partial.sum(axis=0)
-                    other = own[:, None] != names[None, :]
-                    if limits is None:
-                        wanted = np.zeros_like(other)
-                        depth = min(k + 1, len(names))  # one more, as the query may be among them
-                        for one in partial:
-                            top = np.argpartition(-one, depth - 1, axis=1)[:, :depth]
-                            np.put_along_axis(wanted, top, True, axis=1)
-                    else:
-                        cut = limits[low : low + QUERIES_AT_ONCE, None]
-                        # some list holds at least an equal share of the cutoff
-                        wanted = (partial * parts >= cut[None]).any(axis=0)
-                        wanted &= total >= cut
-                    q, v = np.nonzero(wanted & other)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[q]), pa.array(names[v]), pa.array(total[q, v])],
-                        ["query_id", "vec_id", "score"],
-                    )
+                    here = np.arange(low, min(low + QUERIES_AT_ONCE, len(ids)))
+                    plain, large = here[~large_query[here]], here[large_query[here]]
+                    for asked, there, exact in (
+                        (plain, ~large_row, False),
+                        (plain, large_row, True),
+                        (large, np.ones(len(names), bool), True),
+                    ):
+                        if not len(asked) or not there.any():
+                            continue
+                        cuts = None if limits is None else limits[asked]
+                        own = ids[asked], queries[asked], names[there], rows[there], cuts, k
+                        found = _exact_entries(*own) if exact else _entries(*own, parts)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c) for c in found], ["query_id", "vec_id", "score"]
+                        )
 
     return candidates.mapInArrow(run, "query_id long, vec_id long, score long")
 
@@ -142,7 +194,7 @@ def top_k(
     spark = vectors.sparkSession
     rows = quantised(vectors, key=key, vector=vector, scale=scale)
     asked = quantised(vectors.where(is_query), key=key, vector=vector, scale=scale)
-    asked = asked.groupBy("id").agg(F.max("v").alias("v"))
+    asked = materialize(asked.groupBy("id").agg(F.max("v").alias("v")), "topk-queries")
     shape = asked.agg(F.count(F.lit(1)), F.max(F.size("v")), F.min("id"), F.max("id")).first()
     count, width, least, most = shape
     results = []
@@ -159,11 +211,13 @@ def top_k(
             block = spark.sparkContext.broadcast((ids, queries))
             first = _best(_over_candidates(rows, block, None, k, parts).distinct(), k)
             known = first.where(F.col("rank") == k).select("query_id", "score").toArrow()
-            limits = np.full(len(ids), np.iinfo(np.int64).min // 2)
+            limits = np.full(len(ids), np.iinfo(np.int64).min)
             places = np.searchsorted(ids, known.column("query_id").to_numpy())
             limits[places] = known.column("score").to_numpy()
             cutoffs = spark.sparkContext.broadcast(limits)
-            results.append(_best(_over_candidates(rows, block, cutoffs, k, parts), k))
+            results.append(materialize(_best(_over_candidates(rows, block, cutoffs, k, parts), k), "topk-block"))
+            block.destroy()
+            cutoffs.destroy()
     if not results:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     return reduce(DataFrame.unionByName, results).select("query_id", "rank", "vec_id", "score")

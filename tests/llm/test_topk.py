@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from layerline.llm import topk
@@ -47,6 +48,29 @@ def test_ties_copies_and_bad_vectors(spark):
     assert run(spark, rows) == brute_force(rows, lambda n: n % 5 == 0, 5)
 
 
+def test_large_components(spark):
+    """Nothing is left out and nothing wraps, up to scores that a long holds."""
+    rows = [(0, [8e6, 0.0, 0.0, 0.0]), (1, [8e6, 0.0, 0.0, 0.0])] + [(i, [float(i), 1.0, -2.0, 0.5]) for i in range(2, 9)]
+    found = run(spark, rows)
+    assert found == brute_force(rows, lambda n: n % 5 == 0, 5)
+    assert (0, 1, 1, 4_194_304_000_000_000_000) in found
+    rows = [(50, [9e6, 1.0]), (51, [9e6, 2.0]), (52, [1.0, 1.0]), (53, [-3.0, 7.5]), (55, [0.0, 2.0])]
+    rows = [(n, [x / 2 for x in v]) for n, v in rows]
+    assert run(spark, rows) == brute_force(rows, lambda n: n % 5 == 0, 5)
+    random.seed(9)
+    rows = [(i, [random.choice((1e15, 3e9, 1.0)) * random.choice((-1, 1)), 0.0, random.gauss(0, 1)]) for i in range(20, 60)]
+    rows = [(n, v if n % 5 else [random.gauss(0, 1) / 64, 0.0, 1.0]) for n, v in rows]
+    assert run(spark, rows) == brute_force(rows, lambda n: n % 5 == 0, 5)
+    assert run(spark, rows, k=50, block_bytes=64) == brute_force(rows, lambda n: n % 5 == 0, 50)
+
+
+def test_scores_and_components_beyond_a_long_are_refused(spark):
+    with pytest.raises(Exception, match="does not fit a long"):
+        run(spark, [(0, [1e15, 1.0]), (1, [1e15, 1.0])])
+    with pytest.raises(Exception, match="does not fit a long"):
+        run(spark, [(0, [1e300, 1.0]), (1, [1.0, 1.0])])
+
+
 def test_fewer_rows_than_k_and_none(spark):
     rows = [(0, [1.0]), (1, [2.0]), (2, [-3.0])]
     assert run(spark, rows) == brute_force(rows, lambda n: n % 5 == 0, 5)
