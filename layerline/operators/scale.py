@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,3 +121,47 @@ def ordered_chunks(
     """
     ranged = df.repartitionByRange(max(2, chunks), *keys, *order)
     return materialize(ranged.withColumn("_chunk", F.spark_partition_id()), "chunks")
+
+
+def running_sum(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str,
+    *,
+    hot: HotKeys | None = None,
+) -> DataFrame:
+    """Add the sum of ``value`` over the rows of the same keys up to this one, in order.
+
+    ``order`` tells the rows of a key apart. Rows of hot keys are cut into ordered chunks; what
+    the chunks before one add up to is one row per (key, chunk).
+    """
+    if hot is None:
+        hot = find_hot_keys(df, keys)
+
+    def inside(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
+        window = Window.partitionBy(*parts).orderBy(*order)
+        so_far = F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return rows.withColumn(name, so_far)
+
+    if not hot:
+        return inside(df, keys)
+    cold, busy = split_hot(df, keys, hot)
+    rows = ordered_chunks(busy, keys, order, hot.chunks)
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_total"))
+    carried = totals.select(*keys, "_chunk", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carried"))
+    found = inside(join_edges(rows, carried, keys), [*keys, "_chunk"])
+    found = found.withColumn(name, F.col(name) + F.col("_carried")).drop("_chunk", "_carried")
+    return inside(cold, keys).unionByName(found)
+
+
+def join_edges(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with what belongs to their (key, chunk); edges are broadcast where they are measured as small."""
+    same = F.lit(True)
+    for key in [*keys, "_chunk"]:
+        same = same & F.col(f"r.{key}").eqNullSafe(F.col(f"e.{key}"))
+    added = [c for c in edges.columns if c not in (*keys, "_chunk")]
+    edges = F.broadcast(edges) if fits_broadcast(edges) else edges
+    return rows.alias("r").join(edges.alias("e"), same, "left").select("r.*", *(f"e.{c}" for c in added))

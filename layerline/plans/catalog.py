@@ -549,7 +549,10 @@ def q16_as_of_join(t: Tables) -> DataFrame:
     SELECT e.event_id, v.event_type AS version_type FROM events e
     LEFT JOIN unioned v ON v.user_id = e.user_id AND v.ts <= e.ts""")
 def q16_interval_join(t: Tables) -> DataFrame:
-    """J3 with versions that overlap: the fact row is repeated, once per valid version."""
+    """J3 with versions that overlap: the fact row is repeated, once per valid version.
+
+    By dyadic ranges also on small tables, where versions would be broadcast.
+    """
     changes = issuer_changes(t.events)
     split = F.lit("2024-01-15").cast("timestamp_ntz")
     names = {"change_ts": "ts", "tie_break": "event_id"}
@@ -561,6 +564,8 @@ def q16_interval_join(t: Tables) -> DataFrame:
         on={"user_id": "user_id"},
         event_ts="ts",
         take={"version_type": Take("event_type")},
+        grain=["event_id"],
+        allow_broadcast=False,
     ).select("event_id", "version_type")
 
 
