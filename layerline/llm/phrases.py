@@ -26,10 +26,12 @@ passes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,9 +44,9 @@ UNNAMED = "und"
 #: A phrase goes if a longer candidate that holds it has this share of its occurrences, in percent.
 COVERED = 80
 
-BLOCK_TOKENS = 1 << 20
-GATHERED = 4 << 20
-WORDS_HELD = 500_000
+BLOCK_TOKENS = 2 << 20
+GATHERED = 3 << 20
+WORDS_HELD = 400_000
 DICTIONARY_WORDS = 4 << 20
 TRIE_PHRASES = 1 << 20
 ROWS_OUT = 100_000
@@ -75,12 +77,13 @@ class _Words(dict):
 
 
 def _read(documents: DataFrame, seed: int) -> DataFrame:
-    """Rows with ``codes`` (a block of text as hashes), and rows (lang, word, code, n) of counted words."""
+    """Rows of blocks of text (their distinct hashes, the place of each word among them), and of counted words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        names = ["lang", "word", "code", "n", "codes"]
+        names = ["lang", "word", "code", "n", "codes", "places"]
+        packed = zstandard.ZstdCompressor(level=1).compress
         known: dict[str, _Words] = {}
         blocks: dict[str, list[bytes]] = {}
         counts: dict[str, object] = {}
@@ -94,10 +97,13 @@ def _read(documents: DataFrame, seed: int) -> DataFrame:
                 if lang in counts:
                     found[: len(counts[lang])] += counts[lang]
                 counts[lang] = found
-                codes = np.array(words.codes, np.int64)[numbers]
+                present = np.flatnonzero(np.bincount(numbers, minlength=1))
+                place = np.zeros(len(words.words), np.int32)
+                place[present] = np.arange(len(present))
+                held = [np.array(words.codes, np.int64)[present].tobytes(), packed(place[numbers].tobytes())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                     pa.array([codes.tobytes()], pa.binary())], names)
+                     *(pa.array([h], pa.binary()) for h in held)], names)
             blocks.clear()
 
         def words() -> Iterator[pa.RecordBatch]:
@@ -108,7 +114,7 @@ def _read(documents: DataFrame, seed: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * size, pa.string()), pa.array(own.words[part], pa.binary()).view(pa.string()),
                          pa.array(own.codes[part], pa.int64()), pa.array(counts[lang][part], pa.int64()),
-                         pa.nulls(size, pa.binary())], names)
+                         pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary())], names)
             known.clear()
             counts.clear()
 
@@ -130,44 +136,50 @@ def _read(documents: DataFrame, seed: int) -> DataFrame:
         yield from texts()
         yield from words()
 
-    return documents.mapInArrow(run, "lang string, word string, code long, n long, codes binary")
+    return documents.mapInArrow(run, "lang string, word string, code long, n long, codes binary, places binary")
 
 
-def _numbered(blocks: DataFrame, codes, first: int, last: bool) -> DataFrame:
-    """Hashes that are in the sorted array become minus their number; at the end, numbers as 32 bits.
+def _numbered(blocks: DataFrame, numbers, last: bool) -> DataFrame:
+    """Hashes that are in the sorted array become minus their number; at the end, all words are numbers of 32 bits.
 
-    Other words end as 0, and several 0 in a row as one.
+    Words without a number end as 0, and several 0 in a row as one. Frequent words have small numbers, so the
+    text is small once compressed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        own = codes.value
+        known, own = numbers.value
+        packed, unpacked = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for body in batch.column(0):
-                text = np.frombuffer(body.as_buffer(), "<i8")
-                if len(own):
-                    place = np.searchsorted(own, text)
-                    place[place == len(own)] = 0
-                    text = np.where(own[place] == text, -(place + first), text)
+            for held, places in zip(batch.column(0), batch.column(1)):
+                codes = np.frombuffer(held.as_buffer(), "<i8")
+                if len(known):
+                    at = np.searchsorted(known, codes)
+                    at[at == len(known)] = 0
+                    codes = np.where(known[at] == codes, -own[at].astype(np.int64), codes)
                 if last:
-                    text = np.where(text < 0, -text, 0).astype("<i4")
-                    text = text[np.concatenate([[True], (text[1:] != 0) | (text[:-1] != 0)])] if len(text) else text
-                yield pa.RecordBatch.from_arrays([pa.array([text.tobytes()], pa.binary())], ["codes"])
+                    text = np.where(codes < 0, -codes, 0).astype("<i4")[np.frombuffer(unpacked(places.as_buffer()), "<i4")]
+                    kept = np.concatenate([[True], (text[1:] != 0) | (text[:-1] != 0)])[: len(text)]
+                    arrays = [pa.array([b""], pa.binary()), pa.array([packed(text[kept].tobytes())], pa.binary())]
+                else:
+                    arrays = [pa.array([codes.tobytes()], pa.binary()), pa.array([places.as_py()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["codes", "places"])
 
-    return blocks.select("codes").mapInArrow(run, "codes binary")
+    return blocks.select("codes", "places").mapInArrow(run, "codes binary, places binary")
 
 
 class Trie:
     """A double array over phrases of equal length, words being numbers from 1 on.
 
-    The root is state 0 and the state of a first word is its number. The child of state s by word w is
-    ``base[s] + w``, if ``check`` has s there; ``accepts`` has the phrase, from 1, that ends there.
+    A word is two symbols, its number divided by ``radix`` and the rest, so no state has more than ``radix``
+    children. The root is state 0; the child of state s by a symbol is ``base[s] + symbol``, if ``check`` has s
+    there; ``accepts`` has the phrase, from 1, that ends there.
     """
 
-    def __init__(self, base, check, accepts, phrases) -> None:
-        self.arrays = base, check, accepts, phrases
-        self.base, self.check, self.accepts, self.phrases = self.arrays
+    def __init__(self, base, check, accepts, phrases, radix: int) -> None:
+        self.arrays = base, check, accepts, phrases, radix
+        self.base, self.check, self.accepts, self.phrases, self.radix = self.arrays
         self.depth = phrases.shape[1]
 
     def walk(self, text):
@@ -176,22 +188,24 @@ class Trie:
 
         padded = np.concatenate([text, np.zeros(self.depth, text.dtype)])
         places = np.flatnonzero(text)
-        states = text[places]
-        # Beyond either end, take() gives an entry that belongs to nobody.
-        known = self.check.take(states, mode="clip") == 0
-        places, states = places[known], states[known]
-        for level in range(1, self.depth):
+        states = np.zeros(len(places), np.int32)
+        for level in range(self.depth):
             words = padded[places + level]
-            ahead = self.base[states] + words
-            fits = (words > 0) & (self.check.take(ahead, mode="clip") == states)
-            places, states = places[fits], ahead[fits]
+            places, states, words = places[words > 0], states[words > 0], words[words > 0]
+            for number in range(2):
+                symbols = words % self.radix if number else words // self.radix
+                ahead = self.base[states] + symbols
+                # Beyond either end, take() gives an entry that belongs to nobody.
+                fits = self.check.take(ahead, mode="clip") == states
+                places, states, words = places[fits], ahead[fits], words[fits]
         return places, self.accepts[states] - 1
 
 
 class _Builder:
     """Places the children of each state where all of them are free, states with many children first."""
 
-    WINDOW = 65_536
+    #: How far it looks, first near and then farther.
+    WINDOWS = (512, 8_192)
 
     def __init__(self, size: int) -> None:
         import numpy as np
@@ -204,10 +218,11 @@ class _Builder:
     def grow(self, size: int) -> None:
         import numpy as np
 
-        more = max(size, 2 * len(self.used)) - len(self.used) if size > len(self.used) else 0
-        self.used = np.concatenate([self.used, np.zeros(more, bool)])
-        self.base = np.concatenate([self.base, np.zeros(more, np.int32)])
-        self.check = np.concatenate([self.check, np.full(more, -1, np.int32)])
+        if size > len(self.used):
+            more = max(size, 2 * len(self.used)) - len(self.used)
+            self.used = np.concatenate([self.used, np.zeros(more, bool)])
+            self.base = np.concatenate([self.base, np.zeros(more, np.int32)])
+            self.check = np.concatenate([self.check, np.full(more, -1, np.int32)])
 
     def take(self, states, parents) -> None:
         self.used[states] = True
@@ -243,16 +258,18 @@ class _Builder:
 
         span = int(steps[-1]) + 1
         self.grow(self.top + span + 1)
-        end = min(at + self.WINDOW, len(self.used) - span)
-        free = np.flatnonzero(~self.used[at:end]) + at
-        places = free
-        for step in steps[1:17].tolist():
-            places = places[~self.used[places + step]]
-        for place in places[:64].tolist():
-            if not self.used[place + steps].any():
-                return place, int(free[0])
-        crowded = len(free) < self.WINDOW // 16 and end == at + self.WINDOW
-        return self.top, end if crowded else at
+        for window in self.WINDOWS:
+            end = min(at + window, len(self.used) - span)
+            places = np.flatnonzero(~self.used[at:end]) + at
+            if window == self.WINDOWS[0] and len(places) < window // 8 and end == at + window:
+                at = end  # too crowded to look there again
+                continue
+            for step in steps[1:17].tolist():
+                places = places[~self.used[places + step]]
+            for place in places[:64].tolist():
+                if len(steps) < 18 or not self.used[place + steps].any():
+                    return place, at
+        return self.top, at
 
 
 def build_trie(phrases, words: int) -> Trie:
@@ -260,24 +277,22 @@ def build_trie(phrases, words: int) -> Trie:
     import numpy as np
 
     phrases = phrases[np.lexsort(phrases.T[::-1])].astype(np.int32)
-    builder = _Builder(words + 2 + 2 * phrases.size)
+    radix = math.isqrt(words) + 1
+    symbols = np.stack([phrases // radix, phrases % radix], axis=2).reshape(len(phrases), -1).astype(np.int64)
+    builder = _Builder(2 * radix + 2 + 2 * symbols.size)
     builder.used[0] = True
     changes = np.zeros(len(phrases), bool)
     changes[:1] = True
-    for level, column in enumerate(phrases.T.astype(np.int64)):
+    states = np.zeros(len(phrases), np.int64)
+    for column in symbols.T:
         changes[1:] |= column[1:] != column[:-1]
         first = np.flatnonzero(changes)  # one phrase for each child of this level
-        if level:
-            placed = builder.place(states[first], column[first])
-        else:
-            placed = column[first]
-            builder.take(placed, 0)
-        states = placed[np.cumsum(changes) - 1]
+        states = builder.place(states[first], column[first])[np.cumsum(changes) - 1]
     size = builder.top + 1  # the last entry belongs to nobody
     builder.grow(size)
     accepts = np.zeros(size, np.int32)
     accepts[states] = np.arange(1, len(phrases) + 1)
-    return Trie(builder.base[:size].copy(), builder.check[:size].copy(), accepts, phrases)
+    return Trie(builder.base[:size].copy(), builder.check[:size].copy(), accepts, phrases, radix)
 
 
 def _pass(blocks: DataFrame, trie, alone: bool, extend: bool, least: int) -> DataFrame:
@@ -289,6 +304,7 @@ def _pass(blocks: DataFrame, trie, alone: bool, extend: bool, least: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
+        unpacked = zstandard.ZstdDecompressor().decompress
         own = Trie(*trie.value) if trie else None
         depth = own.depth if own else 1
         counts = np.zeros(len(own.phrases) if own else 0, np.int64)
@@ -313,7 +329,7 @@ def _pass(blocks: DataFrame, trie, alone: bool, extend: bool, least: int) -> Dat
         size = 0
         for batch in batches:
             for body in batch.column(0):
-                text = np.frombuffer(body.as_buffer(), "<i4")
+                text = np.frombuffer(unpacked(body.as_buffer()), "<i4")
                 if own:
                     places, phrases = own.walk(text)
                     counts += np.bincount(phrases, minlength=len(counts))
@@ -336,7 +352,7 @@ def _pass(blocks: DataFrame, trie, alone: bool, extend: bool, least: int) -> Dat
         if len(there):
             yield from rows(own.phrases[there], counts[there], True)
 
-    return blocks.mapInArrow(run, "w1 int, w2 int, w3 int, w4 int, counted boolean, n long")
+    return blocks.select("places").mapInArrow(run, "w1 int, w2 int, w3 int, w4 int, counted boolean, n long")
 
 
 def _summed(passes: DataFrame, least: int, label: str) -> DataFrame:
@@ -352,7 +368,7 @@ def _words(documents: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Data
         counted = materialize(counted, "phrase-words")
         if counted.groupBy("code").count().where("count > 1").isEmpty():
             totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-            return rows.where(F.col("codes").isNotNull()).select("codes"), counted.where(F.col("n") >= least), totals
+            return rows.where(F.col("codes").isNotNull()).select("codes", "places"), counted.where(F.col("n") >= least), totals
     raise RuntimeError("words share hashes under every seed")
 
 
@@ -376,11 +392,15 @@ def count_phrases(
     numbers, first = [], 1
     for part in range(parts):
         inside = F.col("code").between(part * step, min((part + 1) * step, 1 << 63) - 1)
-        codes = np.sort(frequent.where(inside).select("code").toArrow().column("code").to_numpy())
-        shared = spark.sparkContext.broadcast(codes)
-        blocks = materialize(_numbered(blocks, shared, first, part == parts - 1), "phrase-numbers")
+        chosen = frequent.where(inside).select("code", "n").toArrow()
+        codes, times = (chosen.column(c).to_numpy() for c in ("code", "n"))
+        codes = codes[np.lexsort((codes, -times))]
+        ids = np.arange(first, first + len(codes), dtype=np.int32)
+        order = np.argsort(codes)
+        shared = spark.sparkContext.broadcast((codes[order], ids[order]))
+        blocks = materialize(_numbered(blocks, shared, part == parts - 1), "phrase-numbers")
         shared.destroy()
-        ids = pa.table({"code": pa.array(codes, pa.int64()), "id": pa.array(np.arange(first, first + len(codes)), pa.int32())})
+        ids = pa.table({"code": pa.array(codes, pa.int64()), "id": pa.array(ids)})
         numbers.append(materialize(spark.createDataFrame(ids), "phrase-ids"))
         first += len(codes)
     words = frequent.join(reduce(DataFrame.unionByName, numbers), "code")
