@@ -157,6 +157,32 @@ def running_sum(
     return inside(cold, keys).unionByName(found)
 
 
+def next_in_order(
+    df: DataFrame, keys: Sequence[str], order: str, name: str, *, hot: HotKeys | None = None
+) -> DataFrame:
+    """Add the ``order`` value of the next row of the same keys, null for the last one.
+
+    Values are different within a key. Rows of hot keys are cut into ordered chunks; where the next
+    chunk of a key begins is one row per (key, chunk).
+    """
+    if hot is None:
+        hot = find_hot_keys(df, keys)
+
+    def inside(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
+        return rows.withColumn(name, F.lead(order).over(Window.partitionBy(*parts).orderBy(order)))
+
+    if not hot:
+        return inside(df, keys)
+    cold, busy = split_hot(df, keys, hot)
+    rows = ordered_chunks(busy, keys, [order], hot.chunks)
+    along = Window.partitionBy(*keys).orderBy("_chunk")
+    firsts = rows.groupBy(*keys, "_chunk").agg(F.min(order).alias("_least"))
+    edges = firsts.select(*keys, "_chunk", F.lead("_least").over(along).alias("_after"))
+    found = inside(join_edges(rows, edges, keys), [*keys, "_chunk"])
+    found = found.withColumn(name, F.coalesce(name, "_after")).drop("_chunk", "_after")
+    return inside(cold, keys).unionByName(found)
+
+
 def join_edges(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with what belongs to their (key, chunk); edges are broadcast where they are measured as small."""
     same = F.lit(True)

@@ -7,6 +7,7 @@ terms over views of those tables, written independently of the operators.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from textwrap import dedent
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,11 @@ from layerline.functions.dates import calendar_columns, date_key, year_month
 from layerline.functions.hashing import change_hash
 from layerline.functions.text import by_prefix, digits_only
 from layerline.operators.asof import Take, as_of_join, interval_join
+from layerline.operators.bitemporal import Bitemporal, as_known, empty_history, record
 from layerline.operators.clean import duplicate_keys
 from layerline.operators.contracts import conform
 from layerline.operators.diff import diff_counts, keyed_diff
+from layerline.operators.digest import reconcile_rows
 from layerline.operators.incremental import MaintainedAggregate
 from layerline.operators.merge import ACTION, merge_counts, merge_frames
 from layerline.operators.quality import (
@@ -54,7 +57,7 @@ from layerline.plans.stand_in import (
     tables,
     with_order_key,
 )
-from layerline.sources.readers import cdc_rows, parse_payload, with_audit
+from layerline.sources.readers import cdc_rows, checked_payload, parse_payload, split_payload, with_audit
 from layerline.sources.tables import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +142,41 @@ def q02_json_payload(t: Tables) -> DataFrame:
     return rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+    WITH planted AS (
+      SELECT event_id, CASE event_id % 20
+        WHEN 1 THEN left(props, length(props) - 1) WHEN 2 THEN '{"k": "many"}' WHEN 3 THEN NULL WHEN 4 THEN '  '
+        WHEN 5 THEN '[' || props || ']' WHEN 6 THEN '{"k": null, "other": [1]}' WHEN 7 THEN '{}' WHEN 8 THEN '17'
+        ELSE props END AS props FROM events)
+    SELECT event_id, props AS payload, CASE
+        WHEN props IS NULL OR trim(props) = '' THEN 'missing'
+        WHEN NOT json_valid(props) THEN 'not json'
+        WHEN json_type(props) <> 'OBJECT' THEN 'not an object'
+        WHEN json_type(props, '$.k') NOT IN ('NULL', 'BIGINT', 'UBIGINT') THEN 'wrong type' END AS problem,
+      CASE WHEN json_valid(props) AND json_type(props) = 'OBJECT' AND json_type(props, '$.k') IN ('BIGINT', 'UBIGINT')
+        THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k
+    FROM planted""")
+def q02_malformed_payload(t: Tables) -> DataFrame:
+    """Texts that do not parse are told apart with their reason; good and rejected are all there are."""
+    kind = F.col("event_id") % 20
+    planted = (
+        F.when(kind == 1, F.expr("left(props, length(props) - 1)"))
+        .when(kind == 2, '{"k": "many"}')
+        .when(kind == 3, F.lit(None))
+        .when(kind == 4, "  ")
+        .when(kind == 5, F.concat(F.lit("["), "props", F.lit("]")))
+        .when(kind == 6, '{"k": null, "other": [1]}')
+        .when(kind == 7, "{}")
+        .when(kind == 8, "17")
+        .otherwise(F.col("props"))
+    )
+    events = t.events.select("event_id", planted.alias("props"))
+    checked = checked_payload(events, "props", T.StructType.fromDDL("k int"), carry=["event_id"])
+    good, bad = split_payload(checked, carry=["event_id"])
+    accepted = good.select("event_id", F.col("_payload").alias("payload"), F.lit(None).cast("string").alias("problem"), "k")
+    return accepted.unionByName(bad.select("event_id", F.col("_payload").alias("payload"), F.col("_problem").alias("problem"), F.lit(None).cast("int").alias("k")))
+
+
 @query("""
     SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n
     FROM events WHERE event_type = 'purchase' GROUP BY 1""")
@@ -414,6 +452,37 @@ def q25_keyed_diff(t: Tables) -> DataFrame:
     return keyed_diff(target, after, ["o_orderkey"])
 
 
+ALTERED = f"""{ITEMS},
+    altered AS (
+      SELECT * REPLACE (
+        CASE WHEN l_orderkey % 701 = 1 THEN l_extendedprice + 1 ELSE l_extendedprice END AS l_extendedprice,
+        CASE WHEN l_orderkey % 701 = 2 THEN NULL ELSE l_shipdate END AS l_shipdate)
+      FROM items WHERE l_orderkey % 701 <> 3
+      UNION ALL SELECT * REPLACE (-l_orderkey AS l_orderkey) FROM items WHERE l_orderkey % 701 = 4)"""
+
+
+@query(f"""
+    WITH {ALTERED}
+    SELECT 'item' AS entity,
+      coalesce(i.l_orderkey, a.l_orderkey)::VARCHAR || ':' || coalesce(i.l_linenumber, a.l_linenumber)::VARCHAR AS natural_key,
+      CASE WHEN i.l_orderkey IS NULL THEN 'added' WHEN a.l_orderkey IS NULL THEN 'removed' ELSE 'changed' END AS change
+    FROM items i FULL JOIN altered a ON a.l_orderkey = i.l_orderkey AND a.l_linenumber = i.l_linenumber
+    WHERE i.l_orderkey IS NULL OR a.l_orderkey IS NULL OR i.l_extendedprice <> a.l_extendedprice
+      OR i.l_shipdate IS DISTINCT FROM a.l_shipdate""")
+def q22_digest_reconciliation(t: Tables) -> DataFrame:
+    """Keys that two layers hold differently, by digests that descend where they differ."""
+    items = materialize(latest_items(t.lineitem), "items")
+    kind = F.col("l_orderkey") % 701
+    altered = items.where(kind != 3).withColumns(
+        {
+            "l_extendedprice": F.when(kind == 1, F.col("l_extendedprice") + 1).otherwise(F.col("l_extendedprice")),
+            "l_shipdate": F.when(kind != 2, F.col("l_shipdate")),
+        }
+    )
+    altered = altered.unionByName(items.where(kind == 4).withColumn("l_orderkey", -F.col("l_orderkey")))
+    return reconcile_rows({"item": (items, altered, ["l_orderkey", "l_linenumber"])})
+
+
 # -- slowly changing dimensions -------------------------------------------------------------
 
 
@@ -719,6 +788,65 @@ def q26_access_keys(t: Tables) -> DataFrame:
     )
 
 
+KNOWN_AT = ("2024-02-01", "2024-02-02", "2024-02-03")
+
+
+@query("""
+    WITH log AS (
+      SELECT user_id, event_type, ts, event_id, CAST(event_id % 3 AS INTEGER) AS batch,
+        event_type = 'error' AND event_id % 2 = 0 AS withdrawn FROM events
+      UNION ALL
+      SELECT user_id, event_type, ts, event_id + 1000000000, 2, TRUE FROM events WHERE event_id % 21 = 1
+      UNION ALL
+      SELECT user_id, 'corrected', ts, event_id + 2000000000, 1, FALSE FROM events WHERE event_id % 18 = 3),
+    asked AS (SELECT unnest([0, 1, 2]) AS known),
+    ranked AS (
+      SELECT known, user_id, event_type, ts, withdrawn,
+        row_number() OVER (PARTITION BY known, user_id, ts ORDER BY batch DESC, event_id DESC) AS rn
+      FROM log JOIN asked ON batch <= known),
+    starts AS (SELECT * FROM ranked WHERE rn = 1 AND NOT withdrawn),
+    versions AS (
+      SELECT known, user_id, event_type, ts AS valid_from,
+        lead(ts) OVER (PARTITION BY known, user_id ORDER BY ts) AS valid_to FROM starts)
+    SELECT CAST(known AS INTEGER) AS known, user_id, event_type, valid_from, valid_to FROM versions""")
+def q35_bitemporal_history(t: Tables) -> DataFrame:
+    """The history of each user as it was known after each of three batches, from one table of rectangles.
+
+    Batches bring late changes, corrections of earlier starts and withdrawals; the last one comes twice.
+    """
+    cfg = Bitemporal(["user_id"], ["event_type"], "ts", "event_id")
+    number, kind = F.col("event_id"), F.col("event_type")
+    log = t.events.select(
+        "user_id",
+        "event_type",
+        "ts",
+        "event_id",
+        (number % 3).cast("int").alias("batch"),
+        F.when((kind == "error") & (number % 2 == 0), "W").otherwise("U").alias("op"),
+    )
+    withdrawn = log.where(number % 21 == 1).withColumns(
+        {"event_id": number + 1_000_000_000, "batch": F.lit(2), "op": F.lit("W")}
+    )
+    corrected = log.where(number % 18 == 3).withColumns(
+        {"event_type": F.lit("corrected"), "event_id": number + 2_000_000_000, "batch": F.lit(1), "op": F.lit("U")}
+    )
+    log = materialize(log.unionByName(withdrawn).unionByName(corrected), "log")
+    history = empty_history(log, cfg)
+    for batch in (0, 1, 2, 2):
+        history = materialize(record(history, log.where(F.col("batch") == batch), cfg, F.lit(KNOWN_AT[batch])), "history")
+    shown = [
+        as_known(history, F.lit(at).cast("timestamp_ntz")).select(
+            F.lit(i).alias("known"),
+            "user_id",
+            "event_type",
+            "valid_from",
+            F.when(F.col("valid_to") < F.lit("9999-01-01").cast("timestamp_ntz"), F.col("valid_to")).alias("valid_to"),
+        )
+        for i, at in enumerate(KNOWN_AT)
+    ]
+    return reduce(DataFrame.unionAll, shown)
+
+
 # -- facts and aggregates -------------------------------------------------------------------
 
 
