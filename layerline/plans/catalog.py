@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerline.functions.checkdigit import is_valid_access_key, is_valid_cnpj, with_cnpj
-from layerline.functions.dates import calendar_columns, date_key, year_month
+from layerline.functions.dates import calendar, calendar_columns, date_key, year_month
 from layerline.functions.hashing import change_hash
 from layerline.functions.text import by_prefix, digits_only
 from layerline.operators.asof import Take, as_of_join, interval_join
@@ -57,7 +57,15 @@ from layerline.plans.stand_in import (
     tables,
     with_order_key,
 )
-from layerline.sources.readers import cdc_rows, checked_payload, parse_payload, split_payload, with_audit
+from layerline.sources.readers import (
+    cdc_rows,
+    checked_payload,
+    parse_payload,
+    plan_splits,
+    run_report,
+    split_payload,
+    with_audit,
+)
 from layerline.sources.tables import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +200,30 @@ def q02_change_log(t: Tables) -> DataFrame:
     return rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+    SELECT count(*) AS n, count(*) AS n_covered_once, 24::BIGINT AS n_parts, TRUE AS even FROM lineitem""")
+def q33_split_plan(t: Tables) -> DataFrame:
+    """Predicates that read a skewed table in parts of equal size, each row once.
+
+    A third of all rows share one key, and some have none; part sizes stay within a fifth of the mean.
+    """
+    key = F.when(F.col("l_orderkey") % 3 == 0, 7).when(F.col("l_orderkey") % 50 != 1, F.col("l_orderkey"))
+    rows = t.lineitem.select(key.alias("k"), F.col("l_partkey").alias("second"))
+    predicates = plan_splits(rows, "k", 24, second="second")
+    counted = rows.agg(
+        F.count(F.lit(1)).alias("n"), *(F.count_if(F.expr(p)).alias(f"p{i}") for i, p in enumerate(predicates))
+    )
+    hits = F.array(*(F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates))
+    once = rows.agg(F.count_if(F.aggregate(hits, F.lit(0), lambda s, x: s + x) == 1).alias("n_covered_once"))
+    sizes = F.array(*(f"p{i}" for i in range(len(predicates))))
+    mean = F.col("n") / len(predicates)
+    even = F.forall(sizes, lambda size: F.abs(size - mean) <= 0.2 * mean)
+    # Two rows of one each.
+    return counted.crossJoin(once).select(
+        "n", "n_covered_once", F.lit(len(predicates)).cast("long").alias("n_parts"), even.alias("even")
+    )
+
+
 @query("""
     SELECT c_custkey, regexp_replace(c_name, '[^0-9]', '', 'g') AS c_name,
       regexp_replace(c_mktsegment, '[^0-9]', '', 'g') AS c_mktsegment FROM customer""")
@@ -661,20 +693,16 @@ def _sold_items(t: Tables, lineitem: DataFrame) -> DataFrame:
 # -- reference dimensions -------------------------------------------------------------------
 
 
-@query("""
-    WITH days AS (
-      SELECT CAST(o_orderdate AS DATE) AS data, count(*) AS orders,
-        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
-      FROM orders GROUP BY 1),
-    y AS (SELECT DISTINCT year(data) AS ano FROM days),
+EASTER = """
     y1 AS (SELECT ano, ano % 19 AS a, ano // 100 AS b, ano % 100 AS c FROM y),
     y2 AS (SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM y1),
     y3 AS (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM y2),
     y4 AS (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM y3),
     easter AS (
       SELECT ano, make_date(ano, (h + l - 7 * m + 114) // 31, (h + l - 7 * m + 114) % 31 + 1) AS sunday
-      FROM y4)
-    SELECT CAST(strftime(data, '%Y%m%d') AS INTEGER) AS sk_data, data, year(data)::INTEGER AS ano,
+      FROM y4)"""
+
+DAY = """CAST(strftime(data, '%Y%m%d') AS INTEGER) AS sk_data, data, year(data)::INTEGER AS ano,
       month(data)::INTEGER AS mes, day(data)::INTEGER AS dia, isodow(data)::INTEGER AS dia_semana,
       list_extract(['janeiro','fevereiro','março','abril','maio','junho','julho','agosto',
         'setembro','outubro','novembro','dezembro'], month(data)) AS nome_mes,
@@ -682,11 +710,32 @@ def _sold_items(t: Tables, lineitem: DataFrame) -> DataFrame:
         'sábado','domingo'], isodow(data)) AS nome_dia_semana,
       isodow(data) >= 6 AS is_fim_semana,
       (date_diff('day', sunday, data) IN (-48, -47, -2, 60) OR strftime(data, '%m-%d') IN
-        ('01-01','04-21','05-01','09-07','10-12','11-02','11-15','12-25')) AS is_feriado_nacional,
-      orders, total
+        ('01-01','04-21','05-01','09-07','10-12','11-02','11-15','12-25')) AS is_feriado_nacional"""
+
+
+@query(f"""
+    WITH days AS (SELECT CAST(unnest(generate_series(DATE '2020-01-01', DATE '2030-12-31', INTERVAL 1 DAY)) AS DATE) AS data),
+    y AS (SELECT DISTINCT year(data) AS ano FROM days), {EASTER},
+    seen AS (SELECT CAST(ts AS DATE) AS data, count(*) AS n FROM events GROUP BY 1)
+    SELECT {DAY}, coalesce(n, 0) AS events
+    FROM days JOIN easter ON easter.ano = year(data) LEFT JOIN seen USING (data)""")
+def q17_whole_calendar(t: Tables) -> DataFrame:
+    """All 4,018 days of the generated calendar, with the events of each."""
+    day = F.col("ts").cast("date").alias("data")
+    seen = t.events.groupBy(day).agg(F.count(F.lit(1)).alias("events"))
+    return calendar(t.spark).join(seen, "data", "left").fillna(0, ["events"])
+
+
+@query(f"""
+    WITH days AS (
+      SELECT CAST(o_orderdate AS DATE) AS data, count(*) AS orders,
+        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+      FROM orders GROUP BY 1),
+    y AS (SELECT DISTINCT year(data) AS ano FROM days), {EASTER}
+    SELECT {DAY}, orders, total
     FROM days JOIN easter ON easter.ano = year(data)""")
 def q17_calendar(t: Tables) -> DataFrame:
-    """Calendar attributes of every day with orders."""
+    """Calendar attributes of every day with orders."""
     day = F.col("o_orderdate").cast("date").alias("day")
     total = F.sum(F.col("o_totalprice").cast(MONEY)).cast("double").alias("total")
     days = t.orders.groupBy(day).agg(F.count(F.lit(1)).alias("orders"), total)
@@ -860,7 +909,7 @@ def q35_bitemporal_history(t: Tables) -> DataFrame:
     FROM items JOIN headers ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
     JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2, 3""")
 def q19_revenue(t: Tables) -> DataFrame:
-    """Net revenue and exact counts of live and cancelled invoices."""
+    """Net revenue and exact counts of live and cancelled invoices."""
     places = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "n_name"
     )
@@ -897,7 +946,7 @@ def q19_revenue(t: Tables) -> DataFrame:
     SELECT ano_mes, p_type, CAST(v AS DOUBLE) AS valor_produtos, CAST(x AS DOUBLE) AS valor_tributos,
       round(CAST(x AS DOUBLE) / CAST(v AS DOUBLE), 6) AS carga_tributaria_efetiva FROM live""")
 def q20_tax_burden(t: Tables) -> DataFrame:
-    """Taxes over value of live items."""
+    """Taxes over value of live items."""
     price = F.col("l_extendedprice").cast(MONEY)
     headers = orders_with_status(t.orders, t.lineitem).select(
         "o_orderkey", "o_orderdate", "is_cancelada"
@@ -1019,6 +1068,106 @@ def _chain_sql(source: str) -> str:
         FROM {source}) WHERE n IS NOT NULL AND (valid_to IS NULL OR valid_to <> n)"""
 
 
+@query(f"""
+    WITH {ITEMS}, {HEADERS}
+    SELECT strftime(o_orderdate, '%Y%m') AS ano_mes, n_name AS place,
+      CAST(sum(CASE WHEN is_cancelada THEN 0 ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE)
+        AS valor_liquido,
+      count(DISTINCT CASE WHEN NOT is_cancelada THEN o_orderkey END) AS qtd_notas,
+      count(DISTINCT CASE WHEN is_cancelada THEN o_orderkey END) AS qtd_notas_canceladas_excluidas
+    FROM items JOIN headers ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+    JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2""")
+def q19_revenue_text(t: Tables) -> DataFrame:
+    """The revenue report, run as SQL text over named tables."""
+    places = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    headers = orders_with_status(t.orders, t.lineitem).join(
+        places.select("c_custkey", "n_name"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    items = latest_items(t.lineitem, "l_extendedprice").join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
+    items = items.select(
+        F.col("o_orderkey").alias("invoice"),
+        F.col("o_orderdate").alias("issued"),
+        F.col("n_name").alias("place"),
+        F.col("is_cancelada").alias("cancelled"),
+        F.col("l_extendedprice").cast(MONEY).alias("value"),
+    )
+    report = run_report(t.spark, "monthly_revenue", {"items": items})
+    return report.withColumn("valor_liquido", F.col("valor_liquido").cast("double"))
+
+
+@query(f"""
+    WITH {ITEMS}, {HEADERS},
+    live AS (
+      SELECT strftime(o_orderdate, '%Y%m') AS ano_mes, p_type AS family,
+        sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v,
+        sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2))) AS x
+      FROM items JOIN headers ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
+      WHERE NOT is_cancelada GROUP BY 1, 2)
+    SELECT ano_mes, family, CAST(v AS DOUBLE) AS valor_produtos, CAST(x AS DOUBLE) AS valor_tributos,
+      round(CAST(x AS DOUBLE) / CAST(v AS DOUBLE), 6) AS carga_tributaria_efetiva FROM live""")
+def q20_tax_burden_text(t: Tables) -> DataFrame:
+    """The burden report, run as SQL text with the library's ratio."""
+    headers = orders_with_status(t.orders, t.lineitem).select("o_orderkey", "o_orderdate", "is_cancelada")
+    price = F.col("l_extendedprice").cast(MONEY)
+    items = (
+        latest_items(t.lineitem, "l_tax")
+        .join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+        .select(
+            F.col("o_orderdate").alias("issued"),
+            F.col("p_type").alias("family"),
+            F.col("is_cancelada").alias("cancelled"),
+            price.alias("value"),
+            (price * F.col("l_tax").cast("decimal(4,2)")).alias("taxes"),
+        )
+    )
+    report = run_report(t.spark, "tax_burden", {"items": items})
+    numbers = ("valor_produtos", "valor_tributos", "carga_tributaria_efetiva")
+    return report.withColumns({n: F.col(n).cast("double") for n in numbers})
+
+
+@query(f"""
+    WITH {CHANGES}, {VERSIONS},
+    planted AS (
+      SELECT user_id, valid_to IS NULL AND user_id % 50 <> 1 AS is_current,
+        user_id % 50 = 2 AS reversed FROM versions)
+    SELECT 'users' AS dimension, user_id AS natural_key,
+      count(CASE WHEN is_current THEN 1 END) AS current_versions, count(CASE WHEN reversed THEN 1 END) AS reversed_versions
+    FROM planted GROUP BY user_id
+    HAVING count(CASE WHEN is_current THEN 1 END) <> 1 OR count(CASE WHEN reversed THEN 1 END) > 0""")
+def q21_history_invariants_text(t: Tables) -> DataFrame:
+    """The invariants of a history as SQL text with named parameters, over planted faults."""
+    kind = F.col("user_id") % 50
+    history = _issuer_dim(t).select(
+        F.col("user_id").alias("natural_key"),
+        "valid_from",
+        F.when(kind == 2, F.col("valid_from")).otherwise(F.col("valid_to")).alias("valid_to"),
+        (F.col("is_current") & (kind != 1)).alias("is_current"),
+    )
+    return run_report(t.spark, "history_invariants", {"history": history}, name="users", currents=1)
+
+
+@query("""
+    SELECT 'access' AS kind, 2 * count(*) AS n, count(*) AS n_valid FROM orders
+    UNION ALL SELECT 'company', 2 * count(*), count(CASE WHEN c_custkey <> 0 THEN 1 END) FROM customer""")
+def q26_key_checks_text(t: Tables) -> DataFrame:
+    """the check-digit rules called from SQL text, over whole keys and keys with one altered digit.
+
+    Customer 0 has a company id of zeros alone, which is none.
+    """
+
+    def both(keys: DataFrame, kind: str, length: int) -> DataFrame:
+        last = F.substring("key", length, 1).cast("int")
+        altered = F.concat(F.substring("key", 1, length - 1), ((last + 1) % 10).cast("string"))
+        kinds = F.lit(kind).alias("kind")
+        return keys.select(kinds, "key").unionAll(keys.select(kinds, altered))
+
+    companies = with_cnpj(t.customer, "key", F.lpad(F.col("c_custkey").cast("string"), 12, "0"))
+    orders = with_order_key(t.orders).select(F.col("chave_acesso").alias("key"))
+    keys = both(orders, "access", 44).unionAll(both(companies.select("key"), "company", 14))
+    return run_report(t.spark, "key_checks", {"keys": keys})
+
+
 @query(f"""
     WITH {CHANGES}, {VERSIONS}, holed AS (SELECT * FROM versions WHERE event_type <> 'click')
     {_chain_sql("versions")} UNION ALL {_chain_sql("holed")}""")
