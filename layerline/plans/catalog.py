@@ -21,11 +21,12 @@ from layerline.functions.text import by_prefix, digits_only
 from layerline.operators.asof import Take, as_of_join, interval_join
 from layerline.operators.bitemporal import Bitemporal, as_known, empty_history, record
 from layerline.operators.clean import duplicate_keys
-from layerline.operators.contracts import conform
+from layerline.operators.contracts import conform, conform_nested, nested_findings, observed_types
 from layerline.operators.diff import diff_counts, keyed_diff
 from layerline.operators.digest import reconcile_rows
 from layerline.operators.incremental import MaintainedAggregate
 from layerline.operators.merge import ACTION, merge_counts, merge_frames
+from layerline.operators.metrics import merged_metrics, rule_sketches
 from layerline.operators.quality import (
     Expectation,
     RuleSet,
@@ -1319,6 +1320,91 @@ def q32_incremental_revenue(t: Tables) -> DataFrame:
     return aggregate.read().withColumn("valor_liquido", F.col("valor_liquido").cast("double"))
 
 
+@query("""
+    WITH kinds AS (SELECT DISTINCT event_type FROM events),
+    plain(path, expected, observed, finding, merged) AS (VALUES
+      ('k', 'bigint', 'bigint', 'same', 'bigint'),
+      ('items', 'array<struct<price:decimal(4,2),sku:string>>', NULL, 'absent', 'array<struct<price:decimal(4,2),sku:string>>')),
+    nested(path, expected, observed, finding, merged) AS (VALUES
+      ('k', 'bigint', 'variant', 'widened', 'variant'),
+      ('items[].price', 'decimal(4,2)', 'decimal(2,1)', 'narrowed', 'decimal(4,2)'),
+      ('items[].sku', 'string', 'string', 'same', 'string'),
+      ('items[].weight', NULL, 'bigint', 'new', 'bigint'),
+      ('note', NULL, 'struct<x:boolean>', 'new', 'struct<x:boolean>'))
+    SELECT event_type, f.* FROM kinds, plain f WHERE event_type <> 'purchase'
+    UNION ALL SELECT event_type, f.* FROM kinds, nested f WHERE event_type = 'purchase'""")
+def q29_nested_drift(t: Tables) -> DataFrame:
+    """How the texts of each kind of event differ from their contract, at every depth.
+
+    The observed types are merged over all texts. Purchases carry other fields in some texts, and a text for
+    their number in others.
+    """
+    text = (
+        F.when(F.col("event_type") != "purchase", F.col("props"))
+        .when(F.col("event_id") % 3 == 0, '{"k": "many", "items": [{"price": 2.5, "weight": 3}, {"sku": "a"}]}')
+        .when(F.col("event_id") % 3 == 1, '{"k": 5, "note": {"x": true}, "items": []}')
+        .otherwise(F.col("props"))
+    )
+    contract = T.StructType.fromDDL("k bigint, items array<struct<price:decimal(4,2),sku:string>>")
+    events = t.events.select("event_type", text.alias("props"))
+    found = [
+        (group[0], f.path, f.expected, f.observed, f.finding, f.merged)
+        for group, kind in observed_types(events, "props", ["event_type"]).items()
+        for f in nested_findings(kind, contract)
+    ]
+    return t.spark.createDataFrame(
+        found, "event_type string, path string, expected string, observed string, finding string, merged string"
+    )
+
+
+@query(f"""
+    WITH {ITEMS}
+    SELECT l_orderkey, l_linenumber::BIGINT AS line, CAST(l_extendedprice AS DECIMAL(12,2))::DOUBLE AS price,
+      CAST(NULL AS DOUBLE) AS tax, CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber::INTEGER END AS even_line
+    FROM items""")
+def q29_nested_conform(t: Tables) -> DataFrame:
+    """Lists of records brought to their contract at every depth."""
+    text = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_linenumber").cast("string")).otherwise("odd")
+    record = F.struct(
+        F.col("l_extendedprice").alias("price"), F.col("l_linenumber").cast("int").alias("line"), text.alias("even_line"), F.lit("x").alias("more")
+    )
+    orders = latest_items(t.lineitem).groupBy("l_orderkey").agg(F.struct(F.collect_list(record).alias("rows")).alias("body"))
+    contract = T.StructType.fromDDL(
+        "l_orderkey bigint, body struct<rows:array<struct<line:bigint,price:decimal(12,2),tax:double,even_line:int>>>"
+    )
+    rows = conform_nested(orders, contract).select("l_orderkey", F.explode("body.rows").alias("r"))
+    return rows.select("l_orderkey", "r.*").withColumn("price", F.col("price").cast("double"))
+
+
+@query("""
+    WITH rows AS (
+      SELECT l_orderkey::VARCHAR AS key, l_orderkey % 10 AS batch, l_quantity <= 45 AS few, l_discount < 0.09 AS cheap
+      FROM lineitem
+      UNION ALL SELECT l_orderkey::VARCHAR, 3, l_quantity <= 45, l_discount < 0.09 FROM lineitem WHERE l_orderkey % 10 = 5)
+    SELECT r.name, r.severity, count(*) AS rows_evaluated, count(CASE WHEN failed THEN 1 END) AS rows_failed,
+      count(DISTINCT CASE WHEN failed THEN key END) AS keys_failed, count(DISTINCT key) AS keys_evaluated,
+      1 - count(DISTINCT CASE WHEN failed THEN key END)::DOUBLE / count(DISTINCT key) AS key_pass_rate
+    FROM (
+      SELECT 'few' AS name, 'drop' AS severity, key, NOT coalesce(few, FALSE) AS failed FROM rows
+      UNION ALL SELECT 'cheap', 'drop', key, NOT coalesce(cheap, FALSE) FROM rows
+      UNION ALL SELECT '* drop', 'drop', key, NOT (coalesce(few, FALSE) AND coalesce(cheap, FALSE)) FROM rows) r
+    GROUP BY r.name, r.severity""")
+def q06_merged_metrics(t: Tables) -> DataFrame:
+    """Rule metrics of ten batches merged by their sketches; a row that comes again is one.
+
+    Order numbers in the fifth batch come again in the third; the last batch is kept twice.
+    """
+    rules = RuleSet(
+        Expectation("few", F.col("l_quantity") <= 45, "drop"), Expectation("cheap", F.col("l_discount") < 0.09, "drop")
+    )
+    batch = F.col("l_orderkey") % 10
+    kept = []
+    for number in (*range(10), 9):
+        rows = t.lineitem.where(batch.isin(3, 5) if number == 3 else batch == number)
+        kept.append(rule_sketches(rows, rules, F.col("l_orderkey"), f"b{number}"))
+    return merged_metrics(materialize(reduce(DataFrame.unionAll, kept), "sketches"))
+
+
 # -- the whole run --------------------------------------------------------------------------
 
 
