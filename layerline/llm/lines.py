@@ -145,10 +145,12 @@ def deduplicate(
     text: str = "text",
     least_chars: int | None = None,
     edits: int = EDITS,
+    counts: bool = True,
 ) -> DataFrame:
-    """The documents with a new text, and n_lines, n_dropped (long).
+    """The documents with a new text and, unless ``counts`` is off, n_lines and n_dropped (long) at the end.
 
-    All other columns stay. A null text stays null and has no lines; an empty one has one empty
+    All other columns stay, whatever their names; only with counts, columns named n_lines and n_dropped give way
+    to them. A very long text is one row, its lines are many. A null text stays null and has no lines; an empty one has one empty
     line. Without ``least_chars``, equal lines go at any length if they have a word, near ones from
     ``2 * edits + 2`` characters on; with it, lines below it stay always. Rows with the same key and text count as one
     document: they keep the same lines. A null key comes first in the order. No row is dropped, a
@@ -159,8 +161,15 @@ def deduplicate(
         least_chars = 2 * edits + 2
     if least_chars < 2 * edits + 2:
         raise ValueError("lines must be long enough to be cut into segments")
+    if counts and text in ("n_lines", "n_dropped"):
+        raise ValueError("the text may not be named like a count")
     names = documents.columns
-    rows = documents.withColumns({"_doc": F.col(key), "_th": F.xxhash64(text), "_text": F.col(text)})
+    # Other columns travel as one struct, so that no name of theirs meets one of those used here.
+    rest = [F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names) if n != text]
+    rows = documents.select(
+        F.col(f"`{key}`").alias("_doc"), F.xxhash64(f"`{text}`").alias("_th"), F.col(f"`{text}`").alias("_text"),
+        F.struct(F.lit(True).alias("here"), *rest).alias("_rest"),
+    )
     lines = _lines(rows, least_chars, words)
     longer = lines.where(F.length("_line") >= least_chars) if words else lines
     place = F.struct("_doc", "_th", "_at")
@@ -208,7 +217,7 @@ def deduplicate(
     dropped = materialize(dropped, "line-numbers")
     gone = F.broadcast(dropped) if fits_broadcast(dropped, rows=2_000_000) else dropped
     same = rows["_doc"].eqNullSafe(gone["_doc"]) & rows["_th"].eqNullSafe(gone["_th"])
-    joined = rows.join(gone, same, "left").select(*[rows[n] for n in (*names, "_text")], gone["_gone"])
+    joined = rows.join(gone, same, "left").select(rows["_rest"], rows["_text"], gone["_gone"])
     split = joined.withColumn("_split", F.split("_text", "\n"))
     bounds = split.withColumn(
         "_bounds", F.concat(F.array(F.lit(-1)), F.col("_gone"), F.array(F.size("_split")))
@@ -224,11 +233,10 @@ def deduplicate(
     kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(
         F.array_join(F.flatten(between), "\n")
     )
-    n_lines = F.coalesce(F.size("_split"), F.lit(0))
-    return bounds.withColumns(
-        {
-            text: kept,
-            "n_lines": F.when(F.col("_text").isNull(), 0).otherwise(n_lines).cast("long"),
-            "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-        }
-    ).select(*names, "n_lines", "n_dropped")
+    n_lines = F.when(F.col("_text").isNull(), 0).otherwise(F.coalesce(F.size("_split"), F.lit(0)))
+    n_dropped = F.coalesce(F.size("_gone"), F.lit(0))
+    added = {"n_lines": n_lines.cast("long"), "n_dropped": n_dropped.cast("long")} if counts else {}
+    return bounds.select(
+        *((kept if n == text else F.col(f"_rest.c{i}")).alias(n) for i, n in enumerate(names) if n not in added),
+        *(c.alias(n) for n, c in added.items()),
+    )

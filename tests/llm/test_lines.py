@@ -186,3 +186,18 @@ def test_sketches_never_part_near_lines(spark):
     assert far.select(lines.sketch(F.col("x")).alias("a"), lines.sketch(F.col("y")).alias("b")).where(
         lines.may_be_near("a", "b", 2)
     ).isEmpty()
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "a first line of words\nsame line of words", "d", 7, "x", 5, True), (2, "same line of words", None, 8, "y", 6, False)]
+    names = "doc_id long, text string, _doc string, _th long, _text string, n_lines int, `a.b` boolean"
+    frame = spark.createDataFrame(rows, names)
+    plain = lines.deduplicate(frame, counts=False)
+    assert plain.columns == frame.columns
+    assert sorted(map(tuple, plain.collect())) == [rows[0], (2, "", *rows[1][2:])]
+    counted = lines.deduplicate(frame)
+    assert counted.columns == ["doc_id", "text", "_doc", "_th", "_text", "a.b", "n_lines", "n_dropped"]
+    assert sorted((r["doc_id"], r["_doc"], r["a.b"], r["n_lines"], r["n_dropped"]) for r in counted.collect()) == [
+        (1, "d", True, 2, 0),
+        (2, None, False, 1, 1),
+    ]

@@ -136,3 +136,83 @@ def test_rules_name_known_sentences():
     known = {s.id for s in licenses.SENTENCES}
     assert len(known) == len(licenses.SENTENCES)
     assert all(s in known for rule in licenses.RULES for s in rule.sentences)
+
+
+def plain_scan(text):
+    """The same by the regex module, sentence by sentence and family by family."""
+    import regex
+
+    found = []
+    joined = regex.sub("(?i)(spdx-license-identifier):", r"\1 ", text or "")
+    for sentence in regex.split(licenses.SENTENCE_END, joined):
+        words = regex.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
+        at = 0
+        while regex.search(licenses.HINT, words):
+            hits = [(m.start(), i, m.end(), s.id) for i, s in enumerate(licenses.SENTENCES) if (m := regex.search(s.pattern, words, pos=at))]
+            if not hits:
+                break
+            _, _, at, name = min(hits)
+            found.append(name)
+    licences = []
+    for family in licenses.families(licenses.RULES):
+        own = {s for rule in family for s in rule.sentences}
+        places = [(i, s) for i, s in enumerate(found) if s in own]
+        at = 0
+        while at < len(places):
+            fits = [r for r in family if tuple(s for _, s in places[at : at + len(r.sentences)]) == r.sentences]
+            if fits:
+                rule = max(fits, key=lambda r: len(r.sentences))
+                licences.append((places[at][0], rule.licence))
+                at += len(rule.sentences)
+            else:
+                at += 1
+    return found, [name for _, name in sorted(licences)]
+
+
+GPL_GRANT = "You can redistribute it and/or modify it under the terms of the GNU {} Public License. "
+GPL_LATER = "Either version 2.1 of the License, or (at your option) any later version. "
+GPL_USE = "In the hope that it will be useful, but WITHOUT ANY WARRANTY. "
+MORE = [
+    ("Licensed under the MIT license or licensed under the Apache License, Version 2.0.", ["MIT", "Apache-2.0"]),
+    (MIT.replace("The above", "All rights reserved. The above"), ["MIT"]),
+    (MIT.replace("The above", "Licensed under CC BY-ND 4.0. The above"), ["MIT", "CC-BY-ND-4.0"]),
+    ("SPDX-License-Identifier: MIT", ["MIT"]),
+    ("// SPDX-License-Identifier: (MIT OR Apache-2.0)\nCopyright 2020 Somebody", ["MIT", "Apache-2.0"]),
+    ("SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0", ["GPL-2.0-or-later"]),
+    ("SPDX-License-Identifier: Nobody-1.0", []),
+    (GPL_GRANT.format("General") + GPL_USE, ["GPL"]),
+    (GPL_GRANT.format("Lesser General") + GPL_LATER + GPL_USE, ["LGPL-or-later"]),
+    (GPL_GRANT.format("Affero General") + "Words. " + GPL_LATER + "All rights reserved. " + GPL_USE, ["AGPL-or-later"]),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE.", ["ISC"]),
+    ("This is free and unencumbered software released into the public domain.", ["Unlicense"]),
+    ("Made available under the terms of the Eclipse Public License 2.0.", ["EPL-2.0"]),
+    ("Licensed under CC BY-NC-SA 4.0. Licensed under a Creative Commons Attribution NonCommercial NoDerivatives 4.0.", ["CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0"]),
+    ("Licensed under the GNU Lesser General Public License, version 2.1. Licensed under the GNU Affero General Public License version 3.", ["LGPL-2.1", "AGPL-3.0"]),
+]
+
+
+def test_more_licences_gaps_and_several_in_a_sentence(spark):
+    frame = spark.createDataFrame(list(enumerate(t for t, _ in MORE)), "doc_id long, text string")
+    rows = {r.doc_id: (r.sentence_ids, r.licences) for r in licenses.scan(frame).collect()}
+    assert {k: v[1] for k, v in rows.items()} == {k: names for k, (_, names) in enumerate(MORE)}
+    assert {k: (list(a), list(b)) for k, (a, b) in rows.items()} == {k: plain_scan(t) for k, (t, _) in enumerate(MORE)}
+
+
+def test_mixed_texts_equal_a_plain_scan(spark):
+    import random
+
+    rng = random.Random(6)
+    parts = [t for t, _ in MORE] + [t for _, t, _, _ in CASES if t and len(t) < 1_000] + ["Plain words here.", "All rights reserved.", "Copyright 2019 X."]
+    texts = [" ".join(rng.sample(parts, rng.randint(1, 6))) for _ in range(120)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in licenses.scan(frame).collect():
+        assert (list(row.sentence_ids), list(row.licences)) == plain_scan(texts[row.doc_id])
+
+
+def test_license_query_on_whole_table(spark, folder):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = QUERIES["op3_license_scan"](spark, folder).collect()
+    assert len(rows) == len(texts) and any(r.licences for r in rows)
+    for row in rows:
+        ids, names = plain_scan(texts[row.doc_id])
+        assert (row.n_sentences, row.sentence_ids, row.licences) == (len(ids), ",".join(ids), ",".join(names))
