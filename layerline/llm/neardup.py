@@ -287,7 +287,9 @@ def _rare_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
     Sets that overlap enough cannot differ in all of the ``n - percent * n / 100 + 1`` first shingles
     of any common order; in order of frequency, what makes an edited copy differ comes first, and
-    copies too far from a group meet none of it. Frequencies are counted in 2 ** RARE_BITS cells.
+    copies too far from a group meet none of it. A shingle counts for a pair only where enough is left of both
+    sets from it on: at the first shingle they share, all that they share is still to come. Frequencies are
+    counted in 2 ** RARE_BITS cells.
     """
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,24 +326,27 @@ def _rare_pairs(rows: DataFrame, percent: int) -> DataFrame:
                 repeats = np.repeat(np.arange(len(firsts)), [len(f) for f in firsts])
                 kept = [batch.column(i).take(pa.array(repeats)) for i in range(4)]
                 sizes = np.array([len(b.as_buffer()) // 8 for b in batch.column(4)])
+                left = np.concatenate([n - np.arange(len(f)) for n, f in zip(sizes, firsts)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(firsts)), *kept, pa.array(sizes[repeats])],
-                    ["shingle", "rid", "d1", "d2", "label", "n"],
+                    [pa.array(np.concatenate(firsts)), *kept, pa.array(sizes[repeats]), pa.array(left)],
+                    ["shingle", "rid", "d1", "d2", "label", "n", "left"],
                 )
 
     listed = rows.select("rid", "d1", "d2", "label", "shingles").mapInArrow(
-        rarest, "shingle long, rid long, d1 long, d2 long, label long, n long"
+        rarest, "shingle long, rid long, d1 long, d2 long, label long, n long, left long"
     )
     # Shingles of one label only need no partner.
     mixed = listed.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
     listed = materialize(listed.join(mixed.select("shingle"), "shingle"), "rarest")
     sides = [
-        listed.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("rid", "d1", "d2", "label", "n")])
+        listed.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("rid", "d1", "d2", "label", "n", "left")])
         for side in ("a", "b")
     ]
     apart = (F.col("rid_a") < F.col("rid_b")) & (F.col("label_a") != F.col("label_b"))
     sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    met = sides[0].join(sides[1], "shingle").where(apart & sized & _alike("d1_a", "d2_a", "d1_b", "d2_b"))
+    # At the first shingle that both have, what they share is no more than what either has left from there on.
+    reach = (100 + percent) * F.least("left_a", "left_b") >= percent * (F.col("n_a") + F.col("n_b"))
+    met = sides[0].join(sides[1], "shingle").where(apart & sized & reach & _alike("d1_a", "d2_a", "d1_b", "d2_b"))
     return met.select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")).distinct()
 
 
@@ -478,3 +483,32 @@ def near_duplicates(
             ).alias("first"),
         )
     )
+
+
+def keep_first(documents: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
+    """One row of each group of near-duplicates, as it is: the least (key, text hash), null keys last.
+
+    Of rows with the same key and text the one with the least hash of the row stays; rows without words and
+    key are linked with nothing and all stay. Other columns stay, whatever their names; an empty table gives no rows.
+    """
+    judged = near_duplicates(documents, key=key, text=text, words=words).where("first")
+    nameless = F.col(key).isNull() & (F.coalesce(F.col("n_shingles"), F.lit(0)) == 0)
+    good = judged.groupBy(F.col(key).alias("_k"), F.col("text_hash").alias("_t")).agg(
+        F.count(F.lit(1)).alias("_times"), F.max(nameless).alias("_nameless")
+    )
+    good = materialize(
+        good.select("_k", "_t", ((F.col("_times") > 1) & ~F.col("_nameless")).alias("_again")), "neardup-first"
+    )
+    same = documents[key].eqNullSafe(good["_k"]) & (F.xxhash64(documents[text]) == good["_t"])
+    once = documents.join(good.where("not _again"), same, "left_semi")
+    again = good.where("_again")
+    if again.isEmpty():
+        return once
+    # Folded map-side, so that a hot row sends one row a task.
+    names = documents.columns
+    row = F.struct(*(F.col(f"`{n}`") for n in names))
+    same = documents[key].eqNullSafe(again["_k"]) & (F.xxhash64(documents[text]) == again["_t"])
+    folded = documents.join(again, same, "left_semi").groupBy(F.col(key), F.xxhash64(text)).agg(
+        F.min_by(row, F.xxhash64(*(F.col(f"`{n}`") for n in names))).alias("_row")
+    )
+    return once.unionByName(folded.select("_row.*"))
