@@ -42,7 +42,7 @@ def drop_low_quality(spark: SparkSession, documents: DataFrame, folder: str) ->
 
 def drop_lines(spark: SparkSession, documents: DataFrame, folder: str) -> DataFrame:
     """Lines that repeat an earlier one, or nearly; n_chars follows the text."""
-    found = lines.deduplicate(documents).drop("n_lines", "n_dropped")
+    found = lines.deduplicate(documents, counts=False)
     size = F.length("text").cast(documents.schema["n_chars"].dataType)
     return found.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(size))
 
@@ -53,27 +53,7 @@ def drop_near_duplicates(spark: SparkSession, documents: DataFrame, folder: str)
     Null keys come last. Of rows with the same key and text the one with the least hash of the row stays;
     rows without words and key are linked with nothing and all stay.
     """
-    judged = neardup.near_duplicates(documents).where("first")
-    nameless = F.col("doc_id").isNull() & (F.coalesce(F.col("n_shingles"), F.lit(0)) == 0)
-    good = judged.groupBy(F.col("doc_id").alias("_k"), F.col("text_hash").alias("_t")).agg(
-        F.count(F.lit(1)).alias("_times"), F.max(nameless).alias("_nameless")
-    )
-    good = materialize(
-        good.select("_k", "_t", ((F.col("_times") > 1) & ~F.col("_nameless")).alias("_again")), "pipeline-first"
-    )
-    same = documents["doc_id"].eqNullSafe(good["_k"]) & (F.xxhash64(documents["text"]) == good["_t"])
-    once = documents.join(good.where("not _again"), same, "left_semi")
-    again = good.where("_again")
-    if again.isEmpty():
-        return once
-    # Folded map-side, so that a hot row sends one row a task.
-    names = documents.columns
-    row = F.struct(*names)
-    same = documents["doc_id"].eqNullSafe(again["_k"]) & (F.xxhash64(documents["text"]) == again["_t"])
-    folded = documents.join(again, same, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("_t")).agg(
-        F.min_by(row, F.xxhash64(*names)).alias("_row")
-    )
-    return once.unionByName(folded.select("_row.*"))
+    return neardup.keep_first(documents)
 
 
 def pack(spark: SparkSession, documents: DataFrame, folder: str) -> DataFrame:
