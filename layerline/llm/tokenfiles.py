@@ -35,6 +35,8 @@ import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from operator import itemgetter
+from string import punctuation
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -42,14 +44,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from layerline.llm.common import TwoAges, per_worker
+from layerline.llm.common import per_worker
 
 END_ID = 2
 MAGIC = b"LTOKENS1"
 FOOTER = "<QQI32s8s"
 
 #: Chunks of text whose ids a worker remembers, and the longest one worth it.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 650_000
 CACHE_CHARS = 64
 READ_BYTES = 8 << 20
 ROWS_OUT = 10_000
@@ -67,121 +69,128 @@ class Settings:
     shard_documents: int = 1_000_000
 
 
+class _Unsafe(Exception):
+    """A text was cut before white space that other white space follows."""
+
+
+class _Chunks(dict):
+    """Ids of chunks, found when first asked for; the limit is kept by forgetting the older half.
+
+    ``find`` gives the ids and whether to remember them.
+    """
+
+    def __init__(self, find) -> None:
+        self._find, self._old = find, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids, kept = self._old.get(chunk), True
+        if ids is None:
+            ids, kept = self._find(chunk)
+        if kept and len(chunk) <= CACHE_CHARS:
+            if len(self) >= CACHE_ENTRIES:
+                self._old = dict(self)
+                self.clear()  # the same dict, so that bound methods stay good
+            self[chunk] = ids
+        return ids
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character by which a byte-level vocabulary writes each byte: itself if it can be seen, else the next free."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = sorted(set(range(256)) - set(seen))
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class ByteLevelEncoder:
     """Ids of whole texts by a tokenizers file, as bytes of little-endian unsigned 32-bit integers.
 
     A byte-level tokenizer with the usual pattern starts a new match at each blank or line end that a
-    visible character follows, so a text may be cut there and each distinct chunk is encoded once.
-    Likewise a letter ends its match before a punctuation mark. Files of another kind encode whole
-    texts. Names of special tokens that occur in a text are ordinary text.
+    visible character follows, so a text may be cut there and each distinct chunk is encoded once. A
+    chunk that is a word goes to the merges alone, being one match, and a mark after a word is a match of
+    its own. Files of another kind encode whole texts. Names of special tokens that occur in a text
+    are ordinary text.
     """
 
-    #: A blank or line end that no visible character follows.
-    ODD = re.compile(r"[ \n](?:\s|\Z)")
+    #: Where a text may be cut.
     CUT = re.compile(r"(?=[ \n]\S)")
-    MARKS = frozenset(".,;:!?")
     #: Letters before this code point are letters in every version of Unicode in use.
-    OLD_LETTERS = "԰"
+    OLD_LETTERS = "\u0530"
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self._plain = Tokenizer.from_file(path)
-        self._plain.encode_special_tokens = True
-        self._marked = Tokenizer.from_file(path)
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = True
+        self._model = self._tokenizer.model
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
         before = told.get("pre_tokenizer") or {}
-        specials = [t for t in told.get("added_tokens") or [] if t["special"] and not (t["lstrip"] or t["rstrip"])]
         self._cuts = (
             before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
             and not told.get("normalizer")
-            and len(told.get("added_tokens") or []) == len(specials) == 1
+            and not told.get("post_processor")
+            and all(t["special"] and not t["lstrip"] and not t["rstrip"] for t in told.get("added_tokens") or [])
         )
         if self._cuts:
-            self._mark, self._mark_id = specials[0]["content"], specials[0]["id"]
+            self._characters = _byte_characters()
+            self._line_end = self.whole("\n")
         #: By chunk: without its blank, or with its line end. First chunks of texts are apart.
-        self._known, self._first = TwoAges(CACHE_ENTRIES), TwoAges(CACHE_ENTRIES // 8)
+        self._known, self._first = _Chunks(self._chunk), _Chunks(self._start)
+        self._ends = _Chunks(lambda marks: (self._match(marks), True))
 
     def whole(self, text: str) -> bytes:
-        import numpy as np
-
-        (encoding,) = self._plain.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(encoding.ids, "<u4").tobytes()
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        """Chunks in one call, parted by the special token."""
-        import numpy as np
-
-        if any(self._mark in chunk for chunk in chunks):
-            return [self.whole(chunk) for chunk in chunks]
-        (encoding,) = self._marked.encode_batch_fast([self._mark.join(chunks)], add_special_tokens=False)
-        ids = np.array(encoding.ids, "<u4")
-        data, found, start = ids.tobytes(), [], 0
-        for end in [*(4 * np.flatnonzero(ids == self._mark_id)).tolist(), 4 * len(ids)]:
-            found.append(data[start:end])
-            start = end + 4
-        return found
-
-    def _look_up(self, keys: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that the young cache lacks."""
-        known, found, words = self._known, {}, {}
-        for key in keys:
-            ids = known.older(key)
-            if ids is not None:
-                found[key] = ids
-            elif len(key) > 1 and key[-1] in self.MARKS and key[:-1].isalpha() and max(key) < self.OLD_LETTERS:
-                words[key] = key[:-1]
-            else:
-                words[key] = key
-        bodies = {w: known.young.get(w) or known.older(w) for w in words.values()}
-        new = [w for w, ids in bodies.items() if ids is None]
-        marks = {key[-1] for key, word in words.items() if len(word) < len(key)}
-        if new or marks:
-            # a chunk that a line end opens has no blank; a mark stands alone
-            texts = [w if w.startswith("\n") else f" {w}" for w in new] + sorted(marks)
-            encoded = self._encode(texts)
-            bodies.update(zip(new, encoded))
-            ends = dict(zip(sorted(marks), encoded[len(new) :]))
-            for key, word in words.items():
-                found[key] = bodies[word] + (ends[key[-1]] if len(word) < len(key) else b"")
-        else:
-            found.update((key, bodies[word]) for key, word in words.items())
-        for word, ids in (bodies | found).items():
-            if len(word) <= CACHE_CHARS:
-                known.add(word, ids)
-        return found
+        (encoding,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return struct.pack(f"<{len(encoding.ids)}I", *encoding.ids)
+
+    def _match(self, text: str) -> bytes:
+        """Ids of a text that is one match of the pattern."""
+        ids = [t.id for t in self._model.tokenize(text.encode().decode("latin-1").translate(self._characters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _is_word(self, text: str) -> bool:
+        return text.isalpha() and (text.isascii() or max(text) < self.OLD_LETTERS)
+
+    def _start(self, word: str) -> tuple[bytes, bool]:
+        return self._match(word) if self._is_word(word) else self.whole(word), True
+
+    def _chunk(self, chunk: str) -> tuple[bytes, bool]:
+        seen = chunk[1:2] if chunk[:1] == "\n" else chunk[:1]
+        if not seen or seen.isspace():
+            raise _Unsafe
+        # Letters, then marks to the end: two matches.
+        body = chunk.rstrip(punctuation)
+        word = body[1:] if body[:1] == "\n" else body
+        if self._is_word(word):
+            if len(body) < len(chunk):
+                # Remembered with its marks only if the word came before, as most rare words come once.
+                again = body in self._known
+                return self._known[body] + self._ends[chunk[len(body) :]], again
+            return self._match(f" {word}") if word is body else self._line_end + self._match(word), True
+        return self.whole(chunk if chunk[0] == "\n" else f" {chunk}"), True
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if not self._cuts:
             return self.whole(text)
-        if self.ODD.search(text):
-            first, *rest = self.CUT.split(text)
-            chunks = [c[1:] if c[0] == " " else c for c in rest]
-            if not first:  # the text begins with a cut
-                first, chunks = rest[0], chunks[1:]
-        else:
-            first, *chunks = text.replace("\n", " \n").split(" ")
+        first, *chunks = text.replace("\n", " \n").split(" ")
+        if not first:  # the text begins with a cut
+            first, *chunks = chunks
+            first = first if text[0] == "\n" else f" {first}"
+        try:
+            return self._first[first] + self._joined(chunks)
+        except _Unsafe:
+            first, *chunks = self.CUT.split(text)
             if not first:
                 first, *chunks = chunks
-                first = first if text[0] == "\n" else f" {first}"
-        known = self._known.young
-        parts = list(map(known.get, chunks))
-        if None in parts:
-            places = [i for i, part in enumerate(parts) if part is None]
-            found = self._look_up({chunks[i] for i in places})
-            for i in places:
-                parts[i] = found[chunks[i]]
-        ids = self._first.young.get(first) or self._first.older(first)
-        if ids is None:
-            ids = self.whole(first)
-            if len(first) <= CACHE_CHARS:
-                self._first.add(first, ids)
-        return ids + b"".join(parts)
+            return self._first[first] + self._joined([c[1:] if c[0] == " " else c for c in chunks])
+
+    def _joined(self, chunks: list[str]) -> bytes:
+        if len(chunks) < 2:
+            return self._known[chunks[0]] if chunks else b""
+        return b"".join(itemgetter(*chunks)(self._known))
 
 
 def _open_folder(path: str):
@@ -203,8 +212,8 @@ def train_dictionary(arrays: Sequence[bytes], settings: Settings = Settings()) -
 
 
 def _sample(documents: DataFrame, settings: Settings) -> list[str]:
-    """Beginnings of the texts with the least hashes; at most ``sample`` of ``sample_bytes`` characters."""
-    hashed = documents.select(F.xxhash64("key", "text").alias("h"), "text")
+    """Beginnings of the texts with the least hashes of their keys; at most ``sample`` of ``sample_bytes`` characters."""
+    hashed = documents.select(F.xxhash64("key").alias("h"), "text")
     hashes = hashed.select("h").orderBy("h").limit(settings.sample).agg(F.max("h")).first()[0]
     if hashes is None:
         return []

@@ -17,7 +17,7 @@ PATH = tokenizer_path("byte_bpe_50k.json")
 SMALL = tokenfiles.Settings(sample=50, shard_bytes=4_000, shard_documents=40)
 #: Blanks, line ends, marks, contractions, digits, other scripts, controls and a special token's name.
 BITS = [" ", "  ", "\n", "\n\n", "\t", " \n", "\x1c", "\xa0", " ", ",", ".", "'s", "don't", "Foo", "bar", "été",
-        "д", "漢字", "12", "½", "-", "<|endoftext|>", "\x00", "🙂", "é", "!!", ":x"]
+        "д", "漢字", "12", "½", "-", "<|endoftext|>", "\x00", "🙂", "é", "!!", ":x", "'", "$$$", "re,***", "_"]
 
 
 @pytest.fixture(scope="module")
