@@ -1211,7 +1211,7 @@ def q23_duplicate_grain(t: Tables) -> DataFrame:
       CAST(new.v AS DOUBLE) AS revenue_after, 0::BIGINT AS rows_added, old.n - new.n AS rows_removed
     FROM old, new""")
 def q24_time_travel(t: Tables) -> DataFrame:
-    """Two versions, their revenue and their difference."""
+    """Two versions, their revenue and their difference."""
     table = _store(t, "versions").table("gold", "items")
     table.overwrite(t.lineitem, batch_id="b1", stage="load")
     table.overwrite(latest_items(t.lineitem), batch_id="b2", stage="dedup")
