@@ -28,15 +28,14 @@ Nothing that grows with the corpus is broadcast or collected.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerline.llm.common import LOWER, UPPER, TwoAges, remainder
+from layerline.llm.common import LOWER, UPPER, remainder
 from layerline.operators.scale import materialize, scratch_dir
 
 DEPTH = 5
@@ -50,6 +49,8 @@ JOINED = 64
 COUNT_AT_ONCE = 1 << 21
 HELD = 1 << 21
 WORD_CACHE = 300_000
+#: Text that is scored at once.
+SCORED_BYTES = 1 << 18
 
 #: Closes a text and stands before it; not a byte of UTF-8.
 END = 255
@@ -57,44 +58,127 @@ SMOOTHING = 0.1
 HALF = -0.6931471805599453
 
 FOLD = str.maketrans(UPPER, LOWER)
-SPLIT = re.compile("[ \t-\r]+")
+FOLD_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 GRAM, TOKEN = 0, 1
 
 
+def normal_bytes(text: bytes) -> bytes:
+    """Words with A to Z in lower case, one blank between them; bytes are split at blanks and \\t to \\r alone."""
+    return b" ".join(text.translate(FOLD_BYTES).split())
+
+
 def normal_text(text: str | None) -> bytes:
-    """Words with A to Z in lower case, one blank between them."""
-    return " ".join(SPLIT.split((text or "").translate(FOLD))).strip(" ").encode("utf-8")
+    return normal_bytes((text or "").encode("utf-8"))
 
 
-def word_hashes():
-    """A function from words to 64-bit hashes; the end of a text is the empty word."""
-    import xxhash
+class _Hashes(dict):
+    """64-bit hashes of words, as 8 bytes; at most WORD_CACHE are kept."""
 
-    known = TwoAges(WORD_CACHE)
+    def __missing__(self, word: bytes) -> bytes:
+        import xxhash
 
-    def of(word: bytes) -> int:
-        value = known.young.get(word)
-        if value is None:
-            value = xxhash.xxh64_intdigest(word) & 0x7FFF_FFFF_FFFF_FFFF
-            known.add(word, value)
+        if len(self) >= WORD_CACHE:
+            self.clear()
+        self[word] = value = (xxhash.xxh64_intdigest(word) & 0x7FFF_FFFF_FFFF_FFFF).to_bytes(8, "little")
         return value
 
+
+def word_hashes() -> Callable[[Sequence[bytes]], tuple]:
+    """A function from normalised texts to the hashes of their words and how many each has.
+
+    The end of a text is the empty word.
+    """
+    import numpy as np
+
+    known = _Hashes()
+
+    def of(bodies: Sequence[bytes]) -> tuple:
+        hashed, end = known.__getitem__, known[b""]
+        found = [b"".join(map(hashed, body.split())) + end for body in bodies]
+        return np.frombuffer(b"".join(found), "<i8"), np.array([len(f) >> 3 for f in found], np.int64)
+
     return of
 
 
-def grams(data, depth: int):
-    """The n-grams that end at each byte of a text and at its end, packed into integers."""
+def grams(bodies: Sequence[bytes], depth: int) -> tuple:
+    """The n-grams that end at each byte of each text and at its end, packed into integers; how many each text has."""
     import numpy as np
 
-    padded = np.concatenate(
-        [np.full(depth, END, np.uint8), np.frombuffer(data, np.uint8), np.array([END], np.uint8)]
-    )
-    n = len(data) + 1
+    before, end = bytes([END]) * depth, bytes([END])
+    data = np.frombuffer(before + (end + before).join(bodies) + end, np.uint8)
+    sizes = np.array([len(b) + 1 for b in bodies], np.int64)
+    n = len(data) - depth
     keys = np.zeros(n, np.int64)
     for i in range(depth + 1):
         keys <<= 8
-        keys |= padded[i : i + n]
-    return keys
+        keys |= data[i : i + n]
+    # What ends before the first byte of the next text belongs to neither.
+    between = (np.cumsum(sizes + depth) - depth)[:-1, None] + np.arange(depth)
+    inside = np.ones(n, bool)
+    inside[between.ravel()] = False
+    return keys[inside], sizes
+
+
+def merged(held: tuple, fresh: tuple) -> tuple:
+    """Two lists of sorted distinct keys with their counts as one; nothing is sorted again."""
+    import numpy as np
+
+    (keys, counts), (new, times) = held, fresh
+    at = np.searchsorted(keys, new)
+    known = keys[np.minimum(at, len(keys) - 1)] == new
+    counts[at[known]] += times[known]
+    rest = ~known
+    return np.insert(keys, at[rest], new[rest]), np.insert(counts, at[rest], times[rest])
+
+
+def lookup(keys, values, nothing) -> Callable:
+    """A function from keys to values; all keys that it is asked for must be known, and no value be ``nothing``.
+
+    Tables by a hash of the key hold the values of keys that have a place of their own, the next one those of the rest;
+    what is left after three is searched for.
+    """
+    import numpy as np
+
+    tables = []
+    left, own = keys, values
+    for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9):
+        if not len(left):
+            break
+        shift = np.uint64(64 - (2 * len(left)).bit_length())
+
+        def place(wanted, factor=np.uint64(factor), shift=shift):
+            return (wanted.view(np.uint64) * factor >> shift).view(np.int64)
+
+        places = place(left)
+        numbers = np.arange(len(left), dtype=np.int32)
+        last = np.zeros(1 << 64 - int(shift), np.int32)
+        last[places] = numbers
+        shared = np.zeros(len(last), bool)
+        shared[places[last[places] != numbers]] = True
+        del last
+        rest = shared[places]
+        table = np.full(len(shared), nothing, values.dtype)
+        table[places[~rest]] = own[~rest]
+        tables.append((place, table))
+        left, own = left[rest], own[rest]
+    order = np.argsort(left)
+    left, own = left[order], own[order]
+
+    def of(wanted):
+        found = np.full(len(wanted), nothing, values.dtype)
+        unknown = None
+        for place, table in tables:
+            if unknown is None:
+                found = table[place(wanted)]
+                unknown = np.flatnonzero(found == nothing)
+            else:
+                found[unknown] = table[place(wanted[unknown])]
+                unknown = unknown[found[unknown] == nothing]
+        if unknown is not None and len(unknown):
+            found[unknown] = own[np.searchsorted(left, wanted[unknown])]
+        return found
+
+    return of
 
 
 def log_gamma_tables():
@@ -176,7 +260,8 @@ def prepare(documents: DataFrame, key: str, text: str, held_out) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                bodies = [normal_text(t.as_py()) for t in part.column(2)]
+                texts = (t.as_buffer() for t in part.column(2))
+                bodies = [normal_bytes(t.to_pybytes()) if t is not None else b"" for t in texts]
                 chunks = []
                 for body in bodies:
                     if filled and filled + len(body) > CHUNK_BYTES:
@@ -204,13 +289,7 @@ def count(texts: DataFrame, depth: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        word_hash = word_hashes()
-
-        def folded(pairs: list):
-            keys = np.concatenate([k for k, _ in pairs])
-            counts = np.concatenate([c for _, c in pairs])
-            found, place = np.unique(keys, return_inverse=True)
-            return found, np.bincount(place, counts, len(found)).astype(np.int64)
+        hashes = word_hashes()
 
         def rows(chunk: int, kind: int, keys, counts) -> pa.RecordBatch:
             part = (keys >> 8) & 0xFFFF if kind == GRAM else keys % BUCKETS
@@ -232,43 +311,37 @@ def count(texts: DataFrame, depth: int) -> DataFrame:
                 ["chunk", "kind", "part", "n", "keys", "counts"],
             )
 
-        held: dict[tuple[int, int], list] = {}  # (chunk, kind): pairs of arrays
-        fresh: dict[tuple[int, int, bool], list] = {}
+        held: dict[tuple[int, int], tuple] = {}  # (chunk, kind): sorted distinct keys, counts
+        fresh: dict[tuple[int, bool], list[bytes]] = {}  # (chunk, trained): texts
         size = 0
 
         def settle() -> None:
             nonlocal size
-            for (chunk, kind, trained), lists in fresh.items():
-                keys = np.concatenate(lists)
-                found, times = np.unique(keys, return_counts=True)
-                mine = held.setdefault((chunk, kind), [])
-                mine.append((found, times if trained else np.zeros_like(times)))
-                if len(mine) > 1:
-                    mine[:] = [folded(mine)]
+            for (chunk, trained), bodies in fresh.items():
+                for kind, keys in ((GRAM, grams(bodies, depth)[0]), (TOKEN, hashes(bodies)[0])):
+                    found, times = np.unique(keys, return_counts=True)
+                    own = found, times if trained else np.zeros_like(times)
+                    held[chunk, kind] = merged(held[chunk, kind], own) if (chunk, kind) in held else own
             fresh.clear()
             size = 0
 
         last = None
         for batch in batches:
             for chunk, out, body in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
-                over = sum(len(k) for pairs in held.values() for k, _ in pairs) > HELD
+                over = sum(len(k) for k, _ in held.values()) > HELD
                 if size > COUNT_AT_ONCE or last is not None and chunk != last or over:
                     settle()
                     if over or chunk != last:
-                        for (own, kind), pairs in held.items():
-                            yield rows(own, kind, *folded(pairs))
+                        for (own, kind), counted in held.items():
+                            yield rows(own, kind, *counted)
                         held.clear()
                 last = chunk
                 data = body.as_py()
-                words = [word_hash(w) for w in data.split(b" ") if w]
-                fresh.setdefault((chunk, GRAM, not out), []).append(grams(data, depth))
-                fresh.setdefault((chunk, TOKEN, not out), []).append(
-                    np.array([*words, word_hash(b"")], np.int64)
-                )
+                fresh.setdefault((chunk, not out), []).append(data)
                 size += len(data) + 1
         settle()
-        for (own, kind), pairs in held.items():
-            yield rows(own, kind, *folded(pairs))
+        for (own, kind), counted in held.items():
+            yield rows(own, kind, *counted)
 
     return texts.mapInArrow(run, COUNTS)
 
@@ -612,39 +685,42 @@ def score(
         import numpy as np
         import pandas as pd
 
-        word_hash = word_hashes()
+        hashes = word_hashes()
         found = {}
-        for which in (GRAM, TOKEN):
+        for which, kind in ((GRAM, "<f4"), (TOKEN, "<i8")):
             mine = own[own["kind"] == which]
             lists = [_restored(b, which, p, depth) for b, p in zip(mine["keys"], mine["part"])]
-            keys = np.concatenate([np.empty(0, np.int64), *lists])
-            values = np.frombuffer(b"".join(mine["values"]), "<f4" if which == GRAM else "<i8")
-            order = np.argsort(keys, kind="stable")
-            found[which] = keys[order], values[order].astype(np.float64)
-        gram_keys, gram_logs = found[GRAM]
-        word_keys, word_counts = found[TOKEN]
+            found[which] = np.concatenate([np.empty(0, np.int64), *lists]), np.frombuffer(b"".join(mine["values"]), kind)
+        # Log probabilities are 0 at most, and places 0 at least.
+        gram_logs = lookup(*found.pop(GRAM), 1)
+        word_keys, word_counts = found.pop(TOKEN)
+        word_places = lookup(word_keys, np.arange(len(word_keys), dtype=np.int32), -1)
         base = np.log10((word_counts + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))
-        out = []
+        out = [[np.empty(0, np.int64)] * 2 + [np.empty(0)] * 3]
+
+        def scored(bodies: list[bytes]) -> list:
+            words, n_words = hashes(bodies)
+            keys, n_bytes = grams(bodies, depth)
+            at, starts = word_places(words), np.cumsum(n_words) - n_words
+            values = np.add.reduceat(gram_logs(keys).astype(np.float64), np.cumsum(n_bytes) - n_bytes)
+            known = np.add.reduceat((word_counts[at] > 0).astype(np.int64), starts)
+            return [n_words, known, np.add.reduceat(base[at], starts), values, -values / np.log10(2) / n_bytes]
+
+        block: list[bytes] = []
+        size = 0
         for data in rows["body"]:
-            words = np.array([*[word_hash(w) for w in data.split(b" ") if w], word_hash(b"")], np.int64)
-            at = np.searchsorted(word_keys, words)
-            # looked up in order, which keeps to a part of the table at a time
-            own_grams = np.sort(grams(data, depth))
-            value = float(gram_logs[np.searchsorted(gram_keys, own_grams)].sum())
-            out.append(
-                (
-                    len(words),
-                    int((word_counts[at] > 0).sum()),
-                    total,
-                    float(base[at].sum()),
-                    value,
-                    -value / np.log10(2) / (len(data) + 1),
-                )
-            )
-        names = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
-        result = pd.DataFrame(out, columns=names)
+            block.append(data)
+            size += len(data) + 1
+            if size >= SCORED_BYTES:
+                out.append(scored(block))
+                block, size = [], 0
+        if block:
+            out.append(scored(block))
+        names = ["n_tokens", "n_known", "base_score", "score", "bits_per_byte"]
+        result = pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out)))))
         result.insert(0, key, rows["key"].to_numpy())
         result.insert(1, "held_out", rows["held"].to_numpy())
+        result.insert(4, "train_tokens", total)
         return result
 
     return (

@@ -177,6 +177,35 @@ def test_lm_query_on_whole_table(spark, folder):
         assert row.score < 0
 
 
+def test_lists_are_merged_and_texts_counted_together():
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 300):
+        one, two = ({int(k): int(n) for k, n in zip(rng.integers(0, 400, size), rng.integers(0, 9, size))} for _ in range(2))
+        arrays = [tuple(np.array(x, np.int64) for x in zip(*sorted(d.items()))) for d in (one, two)]
+        keys, counts = ctw.merged(*arrays)
+        assert dict(zip(keys.tolist(), counts.tolist())) == Counter(one) + Counter(two) | {k: 0 for k in {**one, **two} if one.get(k, 0) + two.get(k, 0) == 0}
+        assert (np.diff(keys) > 0).all()
+    bodies = [b"", b"abcabc", "mät".encode(), b"x"]
+    together, sizes = ctw.grams(bodies, 3)
+    assert sizes.tolist() == [len(b) + 1 for b in bodies]
+    assert together.tolist() == [k for b in bodies for k in ctw.grams([b], 3)[0].tolist()]
+    hashed, sizes = ctw.word_hashes()([b"a b a", b"", b"b"])
+    assert sizes.tolist() == [4, 1, 2] and hashed[0] == hashed[2] and hashed[1] == hashed[5] and hashed[3] == hashed[4]
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 1000, 50_000])
+def test_values_of_known_keys(size):
+    keys = np.unique(np.random.default_rng(size).integers(0, 1 << 48, size))
+    values = np.arange(len(keys), dtype=np.int32)
+    asked = np.concatenate([values[::-1], values[::3]])
+    assert (ctw.lookup(keys, values, -1)(keys[asked]) == asked).all()
+
+
+def test_only_ascii_blanks_part_words():
+    text = " A\x0bB\x1cC\u00a0D\t\u2003E\x85\r\n"
+    assert ctw.normal_text(text) == "a b\x1cc\u00a0d \u2003e\x85".encode()
+
+
 # -- toxicity --------------------------------------------------------------------------------
 
 BAD = ["nasty", "vile", "rotten"]
