@@ -19,7 +19,7 @@ A pass that counts one level also finds the candidates of the next. Scores and r
 counts of frequent phrases.
 
 Hot words and phrases are folded in each task before they are shuffled. Memory of a task: a block of
-``BLOCK_TOKENS`` words (or one longer document), ``GATHERED`` phrases, ``WORDS_HELD`` words and a trie. The
+``BLOCK_TOKENS`` words (or one longer document), of which ``WALKED`` places are looked at, ``GATHERED`` phrases, ``WORDS_HELD`` words and a trie. The
 driver holds one trie, and the hashes of ``DICTIONARY_WORDS`` frequent words; further words are numbered in further
 passes.
 """
@@ -27,6 +27,7 @@ passes.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 from functools import reduce
 
@@ -49,7 +50,11 @@ GATHERED = 3 << 20
 WORDS_HELD = 400_000
 DICTIONARY_WORDS = 4 << 20
 TRIE_PHRASES = 1 << 20
+#: Places of a block that advance through the trie at once.
+WALKED = 1 << 18
 ROWS_OUT = 100_000
+#: Texts that a worker gets at once; blocks come one by one.
+TEXTS_IN = 1_000
 
 #: A-Z in lower case, ends of pieces as one mark, tabs as blanks; the mark is one of the ends.
 END = b"."
@@ -64,7 +69,7 @@ class _Words(dict):
 
     def __init__(self, lang: str, seed: int) -> None:
         self._lang, self._seed = lang.encode("utf-8", "surrogatepass") + b" ", seed
-        self.words, self.codes = [b""], [0]
+        self.words, self.codes = [b""], array("q", [0])
         self[END] = bytes(4)
 
     def __missing__(self, word: bytes) -> bytes:
@@ -100,7 +105,7 @@ def _read(documents: DataFrame, seed: int) -> DataFrame:
                 present = np.flatnonzero(np.bincount(numbers, minlength=1))
                 place = np.zeros(len(words.words), np.int32)
                 place[present] = np.arange(len(present))
-                held = [np.array(words.codes, np.int64)[present].tobytes(), packed(place[numbers].tobytes())]
+                held = [np.array(words.codes)[present].tobytes(), packed(place[numbers].tobytes())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
                      *(pa.array([h], pa.binary()) for h in held)], names)
@@ -113,7 +118,7 @@ def _read(documents: DataFrame, seed: int) -> DataFrame:
                     size = len(own.words[part])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * size, pa.string()), pa.array(own.words[part], pa.binary()).view(pa.string()),
-                         pa.array(own.codes[part], pa.int64()), pa.array(counts[lang][part], pa.int64()),
+                         pa.array(np.array(own.codes[part]), pa.int64()), pa.array(counts[lang][part], pa.int64()),
                          pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary())], names)
             known.clear()
             counts.clear()
@@ -187,7 +192,7 @@ class Trie:
         import numpy as np
 
         padded = np.concatenate([text, np.zeros(self.depth, text.dtype)])
-        places = np.flatnonzero(text)
+        places = np.flatnonzero(text).astype(np.int32)
         states = np.zeros(len(places), np.int32)
         for level in range(self.depth):
             words = padded[places + level]
@@ -319,30 +324,51 @@ def _pass(blocks: DataFrame, trie, alone: bool, extend: bool, least: int) -> Dat
                 yield pa.RecordBatch.from_arrays(arrays, [*NUMBERS, "counted", "n"])
 
         def found() -> Iterator[pa.RecordBatch]:
-            if gathered:
-                codes, times = np.unique(np.concatenate(gathered), return_counts=True)
-                gathered.clear()
-                heads, lasts = codes >> 32, (codes & 0xFFFFFFFF).astype(np.int32)
+            """What is gathered, sorted in one place; of the rows only those of a batch are made at a time."""
+            codes = np.concatenate(gathered) if gathered else np.zeros(0, np.int64)
+            gathered.clear()
+            codes.sort()
+            starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])[: len(codes)]).astype(np.int32)
+            times = np.minimum(np.diff(np.append(starts, len(codes))), least)
+            codes = codes[starts]
+            del starts
+            for at in range(0, len(codes), ROWS_OUT):
+                part = codes[at : at + ROWS_OUT]
+                heads, lasts = part >> 32, (part & 0xFFFFFFFF).astype(np.int32)
                 heads = own.phrases[heads] if own else heads.astype(np.int32)[:, None]
-                yield from rows(np.column_stack([heads, lasts]), np.minimum(times, least), False)
+                yield from rows(np.column_stack([heads, lasts]), times[at : at + ROWS_OUT].astype(np.int64), False)
+
+        def phrases_in(text) -> Iterator[tuple]:
+            """(places, phrases) of a block, a stretch of places after the other.
+
+            A stretch reads on for the one place behind it, so that it sees what follows its last place.
+            """
+            for at in range(0, len(text), WALKED):
+                part = text[at : at + WALKED + 1 + depth]
+                if own:
+                    places, phrases = own.walk(part)
+                else:
+                    places = np.flatnonzero(part)
+                    phrases = part[places]
+                inside = np.searchsorted(places, WALKED)  # the places that are the stretch's own
+                yield part, places[: min(len(places), inside + 1)], phrases[:inside]
 
         size = 0
         for batch in batches:
             for body in batch.column(0):
                 text = np.frombuffer(unpacked(body.as_buffer()), "<i4")
-                if own:
-                    places, phrases = own.walk(text)
-                    counts += np.bincount(phrases, minlength=len(counts))
-                else:
-                    places = np.flatnonzero(text)
-                    phrases = text[places]
-                if extend and len(places):
-                    padded = np.concatenate([text, np.zeros(depth + 1, text.dtype)])
-                    follows = padded[places + depth] > 0
+                for part, places, phrases in phrases_in(text):
+                    if own:
+                        counts += np.bincount(phrases, minlength=len(counts))
+                    if not extend or not len(phrases):
+                        continue
+                    here = places[: len(phrases)]
+                    padded = np.concatenate([part, np.zeros(depth + 1, part.dtype)])
+                    follows = padded[here + depth] > 0
                     if alone:  # the next place must hold a frequent phrase as well
-                        follows[:-1] &= places[1:] == places[:-1] + 1
-                        follows[-1] = False
-                    gathered.append(phrases[follows].astype(np.int64) << 32 | padded[places[follows] + depth])
+                        after = np.append(places[1:], -1)[: len(here)]
+                        follows &= after == here + 1
+                    gathered.append(phrases[follows].astype(np.int64) << 32 | padded[here[follows] + depth])
                     size += len(gathered[-1])
                     if size >= GATHERED:
                         yield from found()
@@ -357,13 +383,13 @@ def _pass(blocks: DataFrame, trie, alone: bool, extend: bool, least: int) -> Dat
 
 def _summed(passes: DataFrame, least: int, label: str) -> DataFrame:
     found = passes.groupBy(*NUMBERS, "counted").agg(F.sum("n").alias("n"))
-    return materialize(found.where(F.col("n") >= least), label)
+    return materialize(found.where(F.col("n") >= least), label, batch_rows=1)
 
 
 def _words(documents: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(blocks of hashes, frequent words (lang, word, code, n), words of each language (lang, total))."""
     for seed in range(8):
-        rows = materialize(_read(documents, seed), "phrase-text")
+        rows = materialize(_read(documents, seed), "phrase-text", batch_rows=TEXTS_IN)
         counted = rows.where(F.col("codes").isNull()).groupBy("lang", "word", "code").agg(F.sum("n").alias("n"))
         counted = materialize(counted, "phrase-words")
         if counted.groupBy("code").count().where("count > 1").isEmpty():
@@ -398,7 +424,7 @@ def count_phrases(
         ids = np.arange(first, first + len(codes), dtype=np.int32)
         order = np.argsort(codes)
         shared = spark.sparkContext.broadcast((codes[order], ids[order]))
-        blocks = materialize(_numbered(blocks, shared, part == parts - 1), "phrase-numbers")
+        blocks = materialize(_numbered(blocks, shared, part == parts - 1), "phrase-numbers", batch_rows=1)
         shared.destroy()
         ids = pa.table({"code": pa.array(codes, pa.int64()), "id": pa.array(ids)})
         numbers.append(materialize(spark.createDataFrame(ids), "phrase-ids"))
@@ -419,7 +445,7 @@ def count_phrases(
                 continue
             shared = spark.sparkContext.broadcast(build_trie(phrases, first).arrays)
             own = _pass(blocks, shared, parts == 1, length < longest, least)
-            passes.append(own if parts == 1 else materialize(own, "phrase-pass"))
+            passes.append(own if parts == 1 else materialize(own, "phrase-pass", batch_rows=1))
             if parts > 1:
                 shared.destroy()
         if not passes:

@@ -126,3 +126,81 @@ def test_trie_finds_what_it_holds(depth):
         if tuple(text[i : i + depth].tolist()) in wanted
     ]
     assert list(zip(places.tolist(), found.tolist())) == expected
+
+
+def test_stretches_of_a_block_give_the_same(spark, monkeypatch):
+    rows = texts(5, 120)
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    monkeypatch.setattr(phrases, "WALKED", 3)
+    found = sorted(tuple(r) for r in phrases.collocations(frame, least=3, limit=100).collect())
+    assert found == brute(rows, 3, 100)
+
+
+class Blocks:
+    """Gives the function that would run in a task."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+@pytest.mark.parametrize("depth", [0, 2])
+def test_memory_of_a_pass(depth):
+    """Little more than the block and what is gathered, not arrays over all its places."""
+    import tracemalloc
+
+    import pyarrow as pa
+    import zstandard
+
+    rng = np.random.default_rng(depth)
+    text = (rng.integers(0, 400, phrases.BLOCK_TOKENS) ** 2 // 400).astype("<i4")
+    pairs = np.unique(np.column_stack([text[:-1], text[1:]])[(text[:-1] > 0) & (text[1:] > 0)], axis=0)
+    trie = type("Shared", (), {"value": phrases.build_trie(pairs, 400).arrays}) if depth else None
+    run = phrases._pass(Blocks(), trie, True, True, 30)
+    block = pa.RecordBatch.from_arrays([pa.array([zstandard.compress(text.tobytes())], pa.binary())], ["places"])
+    counts = Counter()
+    tracemalloc.start()
+    for batch in run(iter([block])):
+        if not depth:
+            counts.update({(a, b): n for a, b, n in zip(*(batch.column(i).to_pylist() for i in (0, 1, 5)))})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    if not depth:
+        whole = Counter(map(tuple, np.column_stack([text[:-1], text[1:]])[(text[:-1] > 0) & (text[1:] > 0)].tolist()))
+        assert counts == Counter({p: min(n, 30) for p, n in whole.items()})
+    assert peak < 80 << 20
+
+
+def test_blocks_come_one_by_one(spark, monkeypatch):
+    """Executors hold whole batches outside their heap, and a block is some megabytes."""
+    most = spark.sparkContext.accumulator(0)
+    numbered = phrases._numbered
+
+    class Watched:
+        def __init__(self, blocks):
+            self.blocks = blocks
+
+        def select(self, *columns):
+            return Watched(self.blocks.select(*columns))
+
+        def mapInArrow(self, run, schema):
+            def watched(batches):
+                def seen():
+                    for batch in batches:
+                        most.add(max(0, batch.num_rows - 1))
+                        yield batch
+
+                return run(seen())
+
+            return self.blocks.mapInArrow(watched, schema)
+
+    monkeypatch.setattr(phrases, "_numbered", lambda blocks, *rest: numbered(Watched(blocks), *rest))
+    monkeypatch.setattr(phrases, "BLOCK_TOKENS", 60)
+    rows = texts(6, 100)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(1)
+    assert sorted(tuple(r) for r in phrases.collocations(frame, least=3, limit=50).collect()) == brute(rows, 3, 50)
+    assert most.value == 0
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
