@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Hashable
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,14 @@ class TwoAges:
     def older(self, key: object) -> object:
         return self._old.get(key)
 
+    def shrink(self, size: int) -> None:
+        """Keep the ``size`` oldest entries of the young half, which are the ones met first: the common ones."""
+        if len(self.young) > size:
+            kept = list(islice(self.young.items(), size))
+            self.young.clear()
+            self.young.update(kept)
+        self._old = {}
+
     def add(self, key: object, value: object) -> None:
         if len(self.young) >= self._limit:
             self._old = dict(self.young)
@@ -55,7 +64,8 @@ def per_worker(key: Hashable, build: Callable[[], object]) -> object:
     """What ``build`` gives, made once for each Python worker process.
 
     Spark reuses its workers, so tables that are costly to fill serve one task after another. What is
-    built must not carry results from one task to the next, and must be bounded.
+    built must not carry results from one task to the next, and must be bounded: a worker that waits takes
+    memory from whatever its executor does meanwhile, so caches shrink at the end of a task.
     """
     name = "_layerline_worker"
     kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__

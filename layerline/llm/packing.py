@@ -32,6 +32,8 @@ END_ID = 2
 #: Chunks between white space whose ids a task remembers, and the longest one worth it.
 CACHE_ENTRIES = 600_000
 CACHE_CHARS = 64
+#: Of these, so many stay for the next task.
+CACHE_AT_REST = 40_000
 
 #: Stands between chunks that are encoded together; the vocabulary has one id for it.
 MARK = "\x01"
@@ -94,6 +96,11 @@ class ChunkTokenizer:
                     known.add(chunk, ids)
         return b"".join(parts)
 
+    def rest(self) -> None:
+        """Between tasks only common chunks are kept."""
+        self._known.shrink(CACHE_AT_REST)
+        pa.default_memory_pool().release_unused()
+
 
 def pieces(length: int, capacity: int) -> Iterator[tuple[int, int]]:
     """(start, size) of the pieces of a document: whole sequences, then its binary digits."""
@@ -196,6 +203,7 @@ def pack(
             return pa.RecordBatch.from_pydict(arrays)
 
         ready: list[tuple] = []
+        part = None
         for part in batches:
             keys = part.column(0).type
             for doc, body in zip(part.column(0).to_pylist(), part.column(1)):
@@ -209,6 +217,8 @@ def pack(
                     yield batch(ready[:ROWS_OUT])
                     del ready[:ROWS_OUT]
         ready += bins.close()
+        del part
+        tokenizer.rest()
         if ready:
             yield batch(ready)
 

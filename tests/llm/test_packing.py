@@ -114,3 +114,34 @@ def test_chunks_encode_like_whole_texts(text):
 def test_query_on_whole_table(spark, folder, plain):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     verify(QUERIES["op2_packing"](spark, folder).collect(), texts, plain, 4096, 0)
+
+
+def test_a_worker_at_rest_keeps_few_chunks(spark, monkeypatch, plain):
+    """Its memory counts while its executor does something else."""
+    import sys
+    import types
+
+    import pyarrow as pa
+
+    class Rows:
+        def __init__(self, frame):
+            self.frame, self.schema = frame, frame.schema
+
+        def select(self, *columns):
+            return Rows(self.frame.select(*columns))
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(packing, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setitem(sys.modules, "_layerline_worker", types.ModuleType("_layerline_worker"))
+    run = packing.pack(Rows(spark.createDataFrame([], "doc_id long, text string")), PATH)
+    text = "the first words " + " ".join(f"w{i:x}" for i in range(60_000))
+    for _ in range(2):
+        batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([text], pa.string())], ["key", "text"])
+        rows = [r for out in run(iter([batch])) for r in out.to_pylist()]
+        verify(rows, {1: text}, plain, packing.CAPACITY, 0)
+        held = vars(sys.modules["_layerline_worker"]).values()
+        (tokenizer,) = (v for v in held if isinstance(v, packing.ChunkTokenizer))
+        assert len(tokenizer._known.young) + len(tokenizer._known._old) <= 40_000
+        assert "first" in tokenizer._known.young
