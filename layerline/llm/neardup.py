@@ -16,7 +16,8 @@ Groups of copies do not become all pairs:
 - In each bucket the members are first tried against one hub; then, where they are not connected
   yet, against other hubs, as long as that finds links. Then the documents of
   buckets with several components are tried against those of other components, all of them but the
-  pairs that cannot be links because they share none of their rarest shingles (an exact bound).
+  pairs that cannot be links because they share none of their rarest shingles, or because the parities of
+  their sets differ too much (exact bounds).
 - Components are found by spreading the least label along links, with tables written in between.
 
 Buckets are read as sorted runs, one row at a time. Signatures and sets move only for candidates.
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -52,6 +54,8 @@ HUBS_A_ROUND = 8
 LEAST_YIELD = 0.05
 #: Cells in which shingles of the remaining documents are counted.
 RARE_BITS = 20
+#: Words of 64 bits in which the parities of a set are kept.
+PARITY_WORDS = 8
 WORD_CACHE = 300_000
 SHINGLES_AT_ONCE = 256
 
@@ -282,15 +286,29 @@ def _confirmed(pairs: DataFrame, signs: DataFrame, sets: DataFrame, radius: int,
     return joined(close, sets, ["shingles"]).mapInArrow(enough, "a long, b long")
 
 
+def _parities(shingles):
+    """Of each of 64 * PARITY_WORDS cells, whether an odd number of the shingles falls in it, as PARITY_WORDS numbers.
+
+    A shingle that only one of two sets has turns one cell over, so no more cells differ than shingles do.
+    """
+    import numpy as np
+
+    cells = 64 * PARITY_WORDS
+    odd = np.bincount((shingles % np.uint64(cells)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
 def _rare_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different labels that share one of their rarest shingles.
 
     Sets that overlap enough cannot differ in all of the ``n - percent * n / 100 + 1`` first shingles
     of any common order; in order of frequency, what makes an edited copy differ comes first, and
     copies too far from a group meet none of it. A shingle counts for a pair only where enough is left of both
-    sets from it on: at the first shingle they share, all that they share is still to come. Frequencies are
-    counted in 2 ** RARE_BITS cells.
+    sets from it on: at the first shingle they share, all that they share is still to come. Nor does a pair
+    count whose parities differ in more places than linked sets do in shingles. Frequencies are counted in
+    2 ** RARE_BITS cells.
     """
+    words = [f"p{i}" for i in range(PARITY_WORDS)]
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -316,9 +334,10 @@ def _rare_pairs(rows: DataFrame, percent: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 200):
                 batch = whole.slice(at, 200)
-                firsts = []
+                firsts, parities = [], []
                 for body in batch.column(4):
                     own = np.frombuffer(body.as_buffer(), "<u8")
+                    parities.append(_parities(own))
                     n = len(own)
                     first = n - -(-percent * n // 100) + 1
                     order = np.lexsort((own, times[(own >> np.uint64(64 - RARE_BITS)).astype(np.int64)]))
@@ -327,26 +346,34 @@ def _rare_pairs(rows: DataFrame, percent: int) -> DataFrame:
                 kept = [batch.column(i).take(pa.array(repeats)) for i in range(4)]
                 sizes = np.array([len(b.as_buffer()) // 8 for b in batch.column(4)])
                 left = np.concatenate([n - np.arange(len(f)) for n, f in zip(sizes, firsts)])
+                odd = np.array(parities)[repeats]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(firsts)), *kept, pa.array(sizes[repeats]), pa.array(left)],
-                    ["shingle", "rid", "d1", "d2", "label", "n", "left"],
+                    [pa.array(np.concatenate(firsts)), *kept, pa.array(sizes[repeats]), pa.array(left)]
+                    + [pa.array(odd[:, i]) for i in range(PARITY_WORDS)],
+                    ["shingle", "rid", "d1", "d2", "label", "n", "left", *words],
                 )
 
     listed = rows.select("rid", "d1", "d2", "label", "shingles").mapInArrow(
-        rarest, "shingle long, rid long, d1 long, d2 long, label long, n long, left long"
+        rarest,
+        "shingle long, rid long, d1 long, d2 long, label long, n long, left long, "
+        + ", ".join(f"{w} long" for w in words),
     )
     # Shingles of one label only need no partner.
     mixed = listed.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
     listed = materialize(listed.join(mixed.select("shingle"), "shingle"), "rarest")
     sides = [
-        listed.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("rid", "d1", "d2", "label", "n", "left")])
+        listed.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("rid", "d1", "d2", "label", "n", "left", *words)])
         for side in ("a", "b")
     ]
     apart = (F.col("rid_a") < F.col("rid_b")) & (F.col("label_a") != F.col("label_b"))
     sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     # At the first shingle that both have, what they share is no more than what either has left from there on.
     reach = (100 + percent) * F.least("left_a", "left_b") >= percent * (F.col("n_a") + F.col("n_b"))
-    met = sides[0].join(sides[1], "shingle").where(apart & sized & reach & _alike("d1_a", "d2_a", "d1_b", "d2_b"))
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words])
+    close = (100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    met = sides[0].join(sides[1], "shingle").where(
+        apart & sized & reach & _alike("d1_a", "d2_a", "d1_b", "d2_b") & close
+    )
     return met.select(F.col("rid_a").alias("a"), F.col("rid_b").alias("b")).distinct()
 
 

@@ -107,6 +107,37 @@ def test_empty(spark):
     assert neardup.near_duplicates(frame).count() == 0
 
 
+def test_last_round_leaves_pairs_that_cannot_be_links(spark):
+    """A family whose sets share some seven tenths: all meet at their rarest shingles, only links and few others are tried."""
+    import numpy as np
+
+    rng = random.Random(5)
+    hashes = np.random.default_rng(5).integers(0, 1 << 63, 210, dtype=np.uint64).tolist()
+    core, pool = hashes[:100], hashes[100:]
+    sets = [{*core, *rng.sample(pool, 60)} for _ in range(40)]
+    sets += [{*s} - {*list(s)[:4]} for s in sets[:6]]
+    rows = [(i, 0, 0, i, np.array(sorted(s), "<u8").tobytes()) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "rid long, d1 long, d2 long, label long, shingles binary")
+    found = {(r.a, r.b) for r in neardup._rare_pairs(frame, 80).collect()}
+    linked = {
+        (i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if 100 * len(a & b) >= 80 * len(a | b)
+    }
+    assert len(linked) >= 6 and linked <= found
+    assert len(found) < len(linked) + 40
+
+
+def test_parities_never_differ_more_than_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    for size in (1, 30, 700):
+        x, y = (rng.integers(0, 1 << 63, size, dtype=np.uint64) for _ in range(2))
+        x[: size // 2] = y[: size // 2]
+        cells = np.unpackbits((neardup._parities(x) ^ neardup._parities(y)).view(np.uint8)).sum()
+        assert cells <= len(np.setxor1d(x, y))
+        assert not (neardup._parities(x) ^ neardup._parities(x[::-1])).any()
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90)], "a long, b long")
     found = {r.rid: r.label for r in neardup.components(links).collect()}
