@@ -31,6 +31,13 @@ def remainder(key: Column, divisor: int) -> Column:
     return F.crc32(key.cast("string")) % divisor
 
 
+def byte_characters() -> dict[int, str]:
+    """The character by which a byte-level vocabulary writes each byte: itself if it can be seen, else the next free."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = sorted(set(range(256)) - set(seen))
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class TwoAges:
     """A bounded cache: when the young half is full it becomes the old one, which is forgotten.
 

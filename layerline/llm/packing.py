@@ -16,15 +16,19 @@ A task that runs again gives the same rows, as its ids derive from the partition
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from string import punctuation
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerline.llm.common import TwoAges, per_worker
+from layerline.llm.common import TwoAges, byte_characters, per_worker
 
 CAPACITY = 4096
 END_ID = 2
@@ -44,11 +48,29 @@ TASK_STRIDE = 1 << 40
 ROWS_OUT = 10_000
 
 
+#: Letters that stay one letter when they are composed and lower-cased, whatever stands after them.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ſ]+")
+
+#: What a file says of its tokenizer where a word of such letters, and the marks after it, go to the merges alone.
+NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
 class ChunkTokenizer:
     """Ids of a text as little-endian unsigned 32-bit integers.
 
     The tokenizer drops white space and never looks across it, so blanks and line ends are safe
-    places to cut a text; each distinct chunk is encoded once. Names of special tokens that
+    places to cut a text; each distinct chunk is encoded once. A chunk that is a word of ``LETTERS`` is one
+    match of the pattern, in lower case, and ASCII marks after it are another, so they go to the merges as they
+    are; files of another kind encode all chunks whole. Names of special tokens that
     occur in a text are ordinary text.
     """
 
@@ -57,9 +79,50 @@ class ChunkTokenizer:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        self._model = self._tokenizer.model
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        self._by_word = (
+            told.get("normalizer") == {"type": "Sequence", "normalizers": NORMALIZERS}
+            and told.get("pre_tokenizer") == {"type": "Sequence", "pretokenizers": PRE_TOKENIZERS}
+            and not told.get("post_processor")
+            and all(t["special"] and not t["lstrip"] and not t["rstrip"] for t in told.get("added_tokens") or [])
+        )
+        self._characters = byte_characters()
         self._known = TwoAges(CACHE_ENTRIES)
         (self._mark,) = self._ids(MARK)
 
+    def _match(self, text: str) -> bytes:
+        """Ids of a text that is one match of the pattern, in lower case."""
+        ids = [t.id for t in self._model.tokenize(text.encode().decode("latin-1").translate(self._characters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _remembered(self, match: str) -> tuple[bytes, bool]:
+        """Ids of a match, and whether it came before."""
+        ids = self._known.young.get(match)
+        if ids is not None:
+            return ids, True
+        ids = self._known.older(match)
+        seen = ids is not None
+        if not seen:
+            ids = self._match(match)
+        if len(match) <= CACHE_CHARS:
+            self._known.add(match, ids)
+        return ids, seen
+
+    def _word(self, chunk: str) -> bytes | None:
+        """Ids of a word and its marks; None if the chunk is something else."""
+        word = chunk.rstrip(punctuation)
+        if not self._by_word or not LETTERS.fullmatch(word):
+            return None
+        ids, seen = self._remembered(word.lower())
+        if len(word) < len(chunk):
+            ids += self._remembered(chunk[len(word) :])[0]
+        # Remembered as it stands only if the word came before, as most rare words come once.
+        if seen and len(chunk) <= CACHE_CHARS:
+            self._known.add(chunk, ids)
+        return ids
+
     def _ids(self, text: str) -> list[int]:
         (encoding,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return encoding.ids
@@ -85,15 +148,22 @@ class ChunkTokenizer:
         parts = list(map(known.young.get, chunks))
         if None in parts:
             places = [i for i, part in enumerate(parts) if part is None]
-            found = {chunks[i]: known.older(chunks[i]) for i in places}
+            found: dict[str, bytes | None] = {}
+            for chunk in dict.fromkeys(chunks[i] for i in places):
+                ids = found[chunk] = known.older(chunk)
+                if ids is None:
+                    found[chunk] = self._word(chunk)
+                elif len(chunk) <= CACHE_CHARS:
+                    known.add(chunk, ids)
             new = [chunk for chunk, ids in found.items() if ids is None]
             if new:
-                found.update(self._encode(new))
+                encoded = self._encode(new)
+                found.update(encoded)
+                for chunk, ids in encoded.items():
+                    if len(chunk) <= CACHE_CHARS:
+                        known.add(chunk, ids)
             for i in places:
                 parts[i] = found[chunks[i]]
-            for chunk, ids in found.items():
-                if len(chunk) <= CACHE_CHARS:
-                    known.add(chunk, ids)
         return b"".join(parts)
 
     def rest(self) -> None:

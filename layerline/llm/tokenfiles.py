@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from layerline.llm.common import per_worker
+from layerline.llm.common import byte_characters, per_worker
 
 END_ID = 2
 MAGIC = b"LTOKENS1"
@@ -94,13 +94,6 @@ class _Chunks(dict):
         return ids
 
 
-def _byte_characters() -> dict[int, str]:
-    """The character by which a byte-level vocabulary writes each byte: itself if it can be seen, else the next free."""
-    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = sorted(set(range(256)) - set(seen))
-    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-
-
 class ByteLevelEncoder:
     """Ids of whole texts by a tokenizers file, as bytes of little-endian unsigned 32-bit integers.
 
@@ -134,7 +127,7 @@ class ByteLevelEncoder:
             and all(t["special"] and not t["lstrip"] and not t["rstrip"] for t in told.get("added_tokens") or [])
         )
         if self._cuts:
-            self._characters = _byte_characters()
+            self._characters = byte_characters()
             self._line_end = self.whole("\n")
         #: By chunk: without its blank, or with its line end. First chunks of texts are apart.
         self._known, self._first = _Chunks(self._chunk), _Chunks(self._start)

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import json
+import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -145,3 +148,33 @@ def test_a_worker_at_rest_keeps_few_chunks(spark, monkeypatch, plain):
         (tokenizer,) = (v for v in held if isinstance(v, packing.ChunkTokenizer))
         assert len(tokenizer._known.young) + len(tokenizer._known._old) <= 40_000
         assert "first" in tokenizer._known.young
+
+
+def test_words_and_their_marks_go_to_the_merges_alone(monkeypatch, plain):
+    """Only what is not a word with marks is normalised and split; the ids are the library's in either case."""
+    chunks = packing.ChunkTokenizer(PATH)
+    asked: list[str] = []
+    encode = chunks._encode
+    monkeypatch.setattr(chunks, "_encode", lambda new: asked.extend(new) or encode(new))
+
+    def ids(text: str) -> list[int]:
+        return list(memoryview(chunks.encode(text)).cast("I"))
+
+    text = "Größe größe, straße... ÉTÉ!? (word) café</w> ſŉĿ: verch,'' Word WORD*** a b"
+    assert ids(text) == plain(text)
+    assert asked == ["(word)", "café</w>"]
+    rng = random.Random(11)
+    letters = "aAzßÉſİıΣ×ªº²漢é̸'’.,!<=>|s\t  \n"
+    for _ in range(3_000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 9)))
+        assert ids(text) == plain(text), text
+
+
+def test_files_with_other_rules_encode_chunks_whole(tmp_path):
+    told = json.loads(Path(PATH).read_text())
+    told["normalizer"]["normalizers"].pop()  # letters keep their case
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(told))
+    text = "Some Words, in UPPER case."
+    found = packing.ChunkTokenizer(str(path)).encode(text)
+    assert list(memoryview(found).cast("I")) == Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False).ids
