@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from layerline.operators import clean, scale
 from layerline.operators.asof import Take, as_of_join
 from layerline.operators.clean import latest_frames, latest_per_key, require_unique
+from layerline.operators.incremental import MaintainedAggregate, Measures
 from layerline.operators.quality import Expectation, apply_expectations
 from layerline.operators.scale import HotKeys, lean_disk, materialize, slices
 from layerline.plans.medallion import run_medallion
@@ -129,6 +130,28 @@ def test_facts_read_once_resolve_as_facts_written_do(spark):
     assert rows(once) == rows(as_of_join(facts, dim, **names, write_once=True))
 
 
+def test_an_aggregate_in_slices_is_the_same_and_leaves_no_scratch(spark, monkeypatch, tmp_path):
+    facts = spark.range(300).select(
+        F.when(F.col("id") % 11 > 0, F.col("id") % 5).cast("string").alias("month"),
+        (F.col("id") % 3).alias("kind"),
+        F.when(F.col("id") % 13 > 0, F.col("id") % 40).alias("invoice"),
+        F.col("id").cast("decimal(18,2)").alias("value"),
+    )
+    measures = Measures(("month", "kind"), "month", sums={"net": F.col("value")}, distinct={"n": F.col("invoice")})
+    found = []
+    before = scratch(spark)
+    for limit in (10_000, 20):
+        monkeypatch.setattr(scale, "SLICE_ROWS", limit)
+        state = MaintainedAggregate(spark, str(tmp_path / str(limit)), measures, facts)
+        state.create(facts.where("value < 200"))
+        touched = state.apply(facts.where("value < 50"), facts.where("value >= 200"), "b2")
+        found.append((touched, rows(state.read())))
+    assert scratch(spark) == before
+    assert found[0] == found[1]
+    whole = facts.where("value >= 50").groupBy("month", "kind").agg(F.sum("value"), F.countDistinct("invoice"))
+    assert found[0][1] == rows(whole)
+
+
 def test_frames_are_merged_as_one(spark, tmp_path):
     df = spark.createDataFrame([(k, k % 4, "new") for k in range(20)] + [(3, 9, "last")], "k int, o int, v string")
     old = spark.createDataFrame([(k, 0, "old") for k in range(5)], "k int, o int, v string")
